@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import near_dup
+from . import encoding, history, language, near_dup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,8 +30,40 @@ def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumnRenamed("id", "result_id")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encoding.garbled_records(_table(spark, sf_dir, "worker_results"), id_col="result_id", text_col="ocr_markdown")
+    return found.select(F.col("id").alias("result_id"))
+
+
+def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    restored = encoding.restored_records(_table(spark, sf_dir, "worker_results"), id_col="result_id", text_col="ocr_markdown")
+    return restored.withColumnRenamed("id", "result_id")
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.fit(_table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text", lang_col="lang")
+    return language.segment_languages(_table(spark, sf_dir, "worker_results"), model, id_col="result_id", text_col="ocr_markdown", label_col="lang_label")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cases = language.mislabelled(_judged(spark, sf_dir))
+    return cases.select(F.col("id").alias("result_id"), F.col("segment_no").cast("bigint").alias("segment_no"), "lang")
+
+
+def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every looked-at segment with its language and confidence, and its record's."""
+    return _judged(spark, sf_dir).withColumnRenamed("id", "result_id")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.duplicates_of_history(_table(spark, sf_dir, "downloads"), _table(spark, sf_dir, "candidates"))
+
+
+QUERIES = [p1_found, p1_groups, p2_found, p2_restored, p3_found, p3_segments, p6_found]
+
+
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups}
+    return {q.__name__: q for q in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
