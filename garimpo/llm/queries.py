@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, history, language, near_dup
+from . import encoding, history, language, near_dup, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,11 +55,32 @@ def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(spark, sf_dir).withColumnRenamed("id", "result_id")
 
 
+def _truncated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return truncation.truncated(_table(spark, sf_dir, "worker_results"), _table(spark, sf_dir, "candidates"), id_col="result_id", text_col="ocr_markdown")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records, _ = _truncated(spark, sf_dir)
+    return records.where("truncated").select(F.col("id").alias("result_id")).distinct()
+
+
+def p4_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source truncates."""
+    records, _ = _truncated(spark, sf_dir)
+    return truncation.truncation_by_source(records)
+
+
+def p4_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hidden storage limits of the sources."""
+    _, limits = _truncated(spark, sf_dir)
+    return limits.drop("at")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.duplicates_of_history(_table(spark, sf_dir, "downloads"), _table(spark, sf_dir, "candidates"))
 
 
-QUERIES = [p1_found, p1_groups, p2_found, p2_restored, p3_found, p3_segments, p6_found]
+QUERIES = [p1_found, p1_groups, p2_found, p2_restored, p3_found, p3_segments, p4_found, p4_sources, p4_limits, p6_found]
 
 
 def queries() -> dict[str, Query]:
