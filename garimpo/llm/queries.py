@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, history, language, near_dup, truncation
+from . import encoding, history, language, near_dup, ocr_noise, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,11 +76,19 @@ def p4_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limits.drop("at")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ocr_noise.noise_kinds(_table(spark, sf_dir, "worker_results"), id_col="result_id", text_col="ocr_markdown").withColumnRenamed("id", "result_id")
+
+
+def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ocr_noise.repaired(_table(spark, sf_dir, "worker_results"), id_col="result_id", text_col="ocr_markdown").withColumnRenamed("id", "result_id")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.duplicates_of_history(_table(spark, sf_dir, "downloads"), _table(spark, sf_dir, "candidates"))
 
 
-QUERIES = [p1_found, p1_groups, p2_found, p2_restored, p3_found, p3_segments, p4_found, p4_sources, p4_limits, p6_found]
+QUERIES = [p1_found, p1_groups, p2_found, p2_restored, p3_found, p3_segments, p4_found, p4_sources, p4_limits, p5_found, p5_repaired, p6_found]
 
 
 def queries() -> dict[str, Query]:
