@@ -50,6 +50,7 @@ NUMBER = r"(?:[0-9]{1,4}|[ivxlc]{1,7})"
 PAGE_LINE = re.compile(rf"^[\W_]{{0,4}}{PAGE}?[\W_]{{0,3}}({NUMBER})(?:\s*(?:de|of|von|sur|/)\s*({NUMBER}))?[\W_]{{0,4}}$", re.I)
 PAGE_TAIL = re.compile(rf"(?:\s{{2,}}|\s(?={PAGE}|[-\[]\s?[0-9]))[\W_]{{0,3}}({PAGE})?[\W_]{{0,3}}({NUMBER})(?:\s*(?:de|of|von|sur|/)\s*({NUMBER}))?[\W_]{{0,3}}$", re.I)
 EXPLICIT = re.compile(rf"^[\W_]*(?:{PAGE}\W*[0-9]|[-–—]\s*[0-9]+\s*[-–—]|\[[0-9]+\])", re.I)
+SENTENCE_END = re.compile(r"^\w+[.;,:]$")
 COMMENT = re.compile(r"^\s*<!--.*-->\s*$")
 HYPHEN = re.compile(r"([^\W\d_]+)[-­‐¬]\s*$")
 MARKUP = ("#", "|", "<!--", "```", "---")
@@ -111,7 +112,8 @@ class Furniture:
             text = line.strip()
             if not text or len(text) > 140 or text.startswith(MARKUP):
                 continue
-            if len(text) <= 24 and (m := PAGE_LINE.match(text)) and (value := _number(m.group(1))) is not None:
+            # "2025." is the end of a wrapped sentence
+            if len(text) <= 24 and not SENTENCE_END.match(text) and (m := PAGE_LINE.match(text)) and (value := _number(m.group(1))) is not None:
                 alone.append((i, value, bool(EXPLICIT.match(text)) or bool(m.group(2))))
                 continue
             if LISTED.match(text):
