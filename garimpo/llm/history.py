@@ -13,11 +13,15 @@ placed on a line by its 64-bit hash; equal keys are points at distance 0, so
 * A search walks all queries of a part at once, with a beam; while the shard is
   built, the beam is widened until a sample of searches agrees with exhaustive
   search.
-* Found nodes are reranked exactly: the whole key must be equal, and the
+* Found nodes are reranked exactly: 128 bits of the key must be equal, and the
   earliest accepted row of equal ones is taken.
-* Each batch adds one shard. When `fanout` shards of a level have gathered they
-  are compacted into one of the next level, so a batch searches a logarithmic
-  number of shards and never the history's rows.
+* Each batch adds one shard. When more than `fanout` shards of a level have
+  gathered they are compacted into one of the next level, so a batch searches a
+  logarithmic number of shards and never the history's rows.
+* Batches that are at hand together are searched together: all against the
+  history, then each against the shards of the batches before it. The rows that
+  share a key there are few; among them the first open row of all its keys is
+  accepted, round by round, which equals taking rows one by one.
 
 Groups of copies: a batch's keys are made distinct (map-side partial minima)
 before the search, and a shard holds each key once, so a key shared by a third
@@ -26,6 +30,7 @@ of all rows is one query and one node.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +48,8 @@ TRACKING = [
 ]
 _TRACKED = "^(" + "|".join(TRACKING) + ")$"
 LINKS = 6
-_GRAPH = "part long, beam int, points binary, links binary, ids binary, keys array<string>"
+PART_NODES = 50_000
+_GRAPH = "segment int, part long, beam int, points binary, checks binary, ids binary, links binary"
 
 
 def _unescape(text: Column, keep: str) -> Column:
@@ -103,16 +109,19 @@ def beam_search(points: np.ndarray, links: np.ndarray, wanted: np.ndarray, beam:
     """For each wanted point the nearest nodes, best first, by walks over the graph from its middle."""
     n = len(points)
     beam = min(beam, n)
-    now = np.linspace(0, n - 1, beam + 2)[1:-1].astype(np.int64)
-    now = np.repeat(now[None, :], len(wanted), axis=0)
+    now = np.repeat(np.linspace(0, n - 1, beam + 2)[1:-1].astype(np.int64)[None, :], len(wanted), axis=0)
     result = np.empty_like(now)
     alive = np.arange(len(wanted))
     while len(alive):
         reach = np.concatenate([now, links[now].reshape(len(now), -1)], axis=1)
-        reach.sort(axis=1)
+        if beam > 1:
+            reach.sort(axis=1)
         d = _distance(points[reach], wanted[alive, None])
-        d[:, 1:][reach[:, 1:] == reach[:, :-1]] = np.iinfo(np.uint64).max
-        order = np.argsort(d, axis=1, kind="stable")[:, :beam]
+        if beam > 1:
+            d[:, 1:][reach[:, 1:] == reach[:, :-1]] = np.iinfo(np.uint64).max
+            order = np.argsort(d, axis=1, kind="stable")[:, :beam]
+        else:
+            order = np.argmin(d, axis=1)[:, None]
         after = np.take_along_axis(reach, order, axis=1)
         done = (after == now).all(axis=1)
         result[alive[done]] = after[done]
@@ -120,7 +129,7 @@ def beam_search(points: np.ndarray, links: np.ndarray, wanted: np.ndarray, beam:
     return result
 
 
-def tuned_beam(points: np.ndarray, links: np.ndarray, rng: np.random.Generator, *, sample: int = 128, recall: float = 1.0) -> int:
+def tuned_beam(points: np.ndarray, links: np.ndarray, rng: np.random.Generator, *, sample: int = 64, recall: float = 1.0) -> int:
     """The narrowest beam (doubled from 1) that agrees with exhaustive search on stored and on random points."""
     asked = np.concatenate([rng.choice(points, min(sample, len(points))), rng.integers(points[0], points[-1], sample, dtype=np.uint64, endpoint=True)])
     best = np.array([_distance(points, q).min() for q in asked])
@@ -133,113 +142,123 @@ def tuned_beam(points: np.ndarray, links: np.ndarray, rng: np.random.Generator,
     return beam
 
 
+def _unsigned(column: pa.ChunkedArray) -> np.ndarray:
+    return column.to_numpy().astype(np.int64, copy=False).view(np.uint64)
+
+
 def _build(key: tuple, table: pa.Table) -> pa.Table:
-    points = np.array(table["point"], np.int64).view(np.uint64)
-    order = np.argsort(points, kind="stable")
-    points = points[order]
+    """The graph row of one part of one segment."""
+    points, checks, ids = _unsigned(table["point"]), _unsigned(table["check"]), table["id"].to_numpy()
+    order = np.lexsort((ids, checks, points))
+    points, checks, ids = points[order], checks[order], ids[order]
     rng = np.random.default_rng(len(points))
     links = build_links(len(points), rng)
-    return pa.table(
-        {
-            "part": pa.array([key[0].as_py()], pa.int64()),
-            "beam": pa.array([tuned_beam(points, links, rng)], pa.int32()),
-            "points": pa.array([points.tobytes()], pa.binary()),
-            "links": pa.array([links.tobytes()], pa.binary()),
-            "ids": pa.array([np.array(table["id"], np.int64)[order].tobytes()], pa.binary()),
-            "keys": pa.array([table["key"].take(pa.array(order)).to_pylist()], pa.list_(pa.string())),
-        }
-    )
+    row = {"segment": key[0].as_py(), "part": key[1].as_py(), "beam": tuned_beam(points, links, rng), "points": points.tobytes(), "checks": checks.tobytes(), "ids": ids.tobytes(), "links": links.tobytes()}
+    return pa.Table.from_pylist([row], schema=pa.schema([("segment", pa.int32()), ("part", pa.int64()), ("beam", pa.int32()), *((k, pa.binary()) for k in ("points", "checks", "ids", "links"))]))
 
 
 def _search(graphs: pa.Table, queries: pa.Table) -> pa.Table:
-    found: list[tuple[str, int]] = []
+    """Hits of the part's queries in its graphs of segments before or equal to their own."""
+    found: list[np.ndarray] = []
     if queries.num_rows:
-        wanted = np.array(queries["point"], np.int64).view(np.uint64)
-        asked = queries["key"].to_pylist()
+        wanted, checks = _unsigned(queries["point"]), _unsigned(queries["check"])
+        segments = queries["segment"].to_numpy()
         for g in graphs.to_pylist():
-            points, ids, keys = np.frombuffer(g["points"], np.uint64), np.frombuffer(g["ids"], np.int64), g["keys"]
+            asked = np.nonzero(segments >= g["segment"])[0]
+            points, stored, ids = (np.frombuffer(g[k], t) for k, t in (("points", np.uint64), ("checks", np.uint64), ("ids", np.int64)))
             links = np.frombuffer(g["links"], np.int32).reshape(len(points), -1)
-            at = beam_search(points, links, wanted, g["beam"])[:, 0]
-            for q in np.nonzero(points[at] == wanted)[0]:
-                # exact rerank, over all nodes at this very point
-                low, high = np.searchsorted(points, wanted[q], "left"), np.searchsorted(points, wanted[q], "right")
-                found += [(asked[q], int(ids[k])) for k in range(low, high) if keys[k] == asked[q]]
-    return pa.table({"key": pa.array([k for k, _ in found], pa.string()), "accepted_id": pa.array([i for _, i in found], pa.int64())})
+            at = beam_search(points, links, wanted[asked], g["beam"])[:, 0]
+            near = np.nonzero(points[at] == wanted[asked])[0]
+            # exact rerank: of all nodes at this very point, those with the same second hash (128 bits together)
+            low, high = np.searchsorted(points, points[at[near]], "left"), np.searchsorted(points, points[at[near]], "right")
+            for shift in range(int((high - low).max(initial=0))):
+                there = low + shift < high
+                node, q = low[there] + shift, asked[near[there]]
+                equal = stored[node] == checks[q]
+                found.append(np.stack([wanted[q][equal].view(np.int64), checks[q][equal].view(np.int64), segments[q][equal].astype(np.int64), np.full(equal.sum(), g["segment"], np.int64), ids[node][equal]]))
+    rows = np.concatenate(found, axis=1) if found else np.empty((5, 0), np.int64)
+    names = ["point", "check", "segment", "held_in", "accepted_id"]
+    return pa.table({n: pa.array(rows[k], pa.int64()) for k, n in enumerate(names)})
 
 
 class HistoryIndex:
-    """Accepted keys in graph shards; add() a segment, search() them all."""
+    """Keys in graph shards, one for each segment; add() segments, search() them all, compact() on schedule.
 
-    def __init__(self, *, part_bits: int = 5, fanout: int = 4):
+    Keys are rows (id, segment, point, check). For a batch that comes later:
+    search() its keys, then add() those of its accepted rows; nothing of the
+    history is read but the graphs.
+    """
+
+    def __init__(self, part_bits: int, *, fanout: int = 8):
         self.part_bits, self.fanout = part_bits, fanout
         self.levels: list[list[DataFrame]] = []
 
-    def _placed(self, keys: DataFrame) -> DataFrame:
-        point = F.xxhash64("key")
-        return keys.withColumn("point", point).withColumn("part", F.shiftrightunsigned("point", 64 - self.part_bits))
+    def _part(self) -> Column:
+        return F.shiftrightunsigned("point", 64 - self.part_bits)
 
-    def _shard(self, keys: DataFrame) -> DataFrame:
-        once = keys.groupBy("key").agg(F.min("id").alias("id"))
-        return materialize(self._placed(once).groupBy("part").applyInArrow(_build, _GRAPH), "shard")
+    def _built(self, keys: DataFrame) -> DataFrame:
+        once = keys.groupBy("segment", "point", "check").agg(F.min("id").alias("id"))
+        return materialize(once.withColumn("part", self._part()).groupBy("segment", "part").applyInArrow(_build, _GRAPH), "shard")
 
-    def add(self, keys: DataFrame) -> None:
-        """A new shard of the segment's (id, key); compacts a level that is full."""
-        self._put(0, self._shard(keys))
+    def add(self, keys: DataFrame, segments: int = 1) -> None:
+        """New shards of the keys' segments, built together."""
+        self._put(0, self._built(keys), segments)
 
-    def _put(self, level: int, shard: DataFrame) -> None:
-        if len(self.levels) <= level:
+    def _put(self, level: int, shard: DataFrame, segments: int) -> None:
+        while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(shard)
-        if len(self.levels[level]) == self.fanout:
-            merged = self.levels[level][0]
-            for other in self.levels[level][1:]:
-                merged = merged.unionByName(other)
-            self.levels[level] = []
-
-            def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                for b in batches:
-                    for g in b.to_pylist():
-                        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(g["ids"], np.int64)), pa.array(g["keys"], pa.string())], names=["id", "key"])
-
-            self._put(level + 1, self._shard(merged.select("ids", "keys").mapInArrow(nodes, "id long, key string")))
+        self.levels[level].append((shard, segments))
+        if sum(n for _, n in self.levels[level]) > self.fanout:
+            self.compact(level)
+
+    def compact(self, level: int) -> None:
+        """The shards of a level as one of the next level, under its first segment's number."""
+        merged = self.levels[level][0][0]
+        for other, _ in self.levels[level][1:]:
+            merged = merged.unionByName(other)
+        self.levels[level] = []
+
+        def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for g in b.to_pylist():
+                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(g[k], np.int64)) for k in ("points", "checks", "ids")], names=["point", "check", "id"])
+
+        first = merged.agg(F.min("segment")).first()[0]
+        keys = merged.select("points", "checks", "ids").mapInArrow(nodes, "point long, check long, id long").withColumn("segment", F.lit(first))
+        self._put(level + 1, self._built(keys), 1)
 
     def search(self, keys: DataFrame) -> DataFrame:
-        """(key, accepted_id) of the distinct keys that a shard holds."""
-        shards = [s for level in self.levels for s in level]
-        graphs = shards[0]
-        for s in shards[1:]:
-            graphs = graphs.unionByName(s)
-        asked = self._placed(keys.select("key").distinct())
-        return graphs.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_search, "key string, accepted_id long")
+        """(point, check, segment, held_in, accepted_id): the distinct keys held by a segment up to their own."""
+        graphs = None
+        for shard, _ in (x for level in self.levels for x in level):
+            graphs = shard if graphs is None else graphs.unionByName(shard)
+        asked = keys.select("point", "check", "segment").distinct().withColumn("part", self._part())
+        return graphs.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_search, "point long, check long, segment long, held_in long, accepted_id long")
 
 
 # ---------------------------------------------------------------- batches
 
 
-def _first_wins(rows: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
-    """Within a batch: (rows that repeat an earlier accepted row as (duplicate_id, accepted_id), their ids).
+def _first_wins(open_: DataFrame) -> DataFrame:
+    """(duplicate_id, accepted_id) among rows (id, point, check) that share keys with each other.
 
-    rows: (id, key) of rows that no shard knows. A row is accepted when it is
-    the first open row for all its keys; rows that share a key with it are then
-    duplicates. The rounds see only rows with a shared key and end when none is
-    open; a chain of n rows that each repeat the one before takes about n / 2.
+    A row is accepted when it is the first open row for all its keys; rows that
+    share a key with it are then duplicates. Rounds end when no row is open; a
+    chain of n rows that each repeat the one before takes about n / 2.
     """
-    shared = rows.groupBy("key").agg(F.count_distinct("id").alias("n")).where("n > 1").select("key")
-    conflicted = rows.join(shared, "key").select("id").distinct()
-    open_ = materialize(rows.join(conflicted, "id", "left_semi").distinct(), "open")
     found = None
-    while open_.head(1):
-        first = open_.groupBy("key").agg(F.min("id").alias("first"))
-        tagged = open_.join(first, "key")
-        winners = tagged.groupBy("id").agg(F.min((F.col("id") == F.col("first")).cast("int")).alias("wins")).where("wins = 1").select("id")
-        won = open_.join(winners, "id").select("key", F.col("id").alias("winner"))
-        beaten = open_.join(won, "key").where("id > winner").groupBy("id").agg(F.min("winner").alias("accepted_id"))
-        beaten = materialize(beaten, "beaten")
-        pairs = beaten.select(F.col("id").alias("duplicate_id"), "accepted_id")
+    while True:
+        first = open_.groupBy("point", "check").agg(F.min("id").alias("first"))
+        winners = open_.join(first, ["point", "check"]).groupBy("id").agg(F.min((F.col("id") == F.col("first")).cast("int")).alias("wins")).where("wins = 1").select("id")
+        won = open_.join(winners, "id").select("point", "check", F.col("id").alias("winner"))
+        state = open_.join(won, ["point", "check"], "left").groupBy("id").agg(F.min("winner").alias("winner"))
+        state = materialize(state, "state")
+        pairs = state.where("id > winner").select(F.col("id").alias("duplicate_id"), F.col("winner").alias("accepted_id"))
         found = pairs if found is None else found.unionByName(pairs)
-        gone = beaten.select("id").unionByName(winners)
-        open_ = materialize(open_.join(gone, "id", "left_anti"), "open")
-    return found
+        rest = state.where("winner IS NULL").select("id")
+        if not rest.head(1):
+            return found
+        open_ = materialize(open_.join(rest, "id", "left_semi"), "open")
 
 
 def duplicates_of_history(
@@ -252,8 +271,7 @@ def duplicates_of_history(
     hash_col: str = "content_hash",
     length_col: str = "content_length",
     url_col: str = "url",
-    part_bits: int = 5,
-    fanout: int = 4,
+    part_nodes: int = PART_NODES,
 ) -> DataFrame:
     """(accepted_id, duplicate_id): rows of batches >= 1 that repeat an earlier accepted row.
 
@@ -273,27 +291,34 @@ def duplicates_of_history(
             F.coalesce(F.col("batch"), F.lit(0)).cast("int").alias("batch"),
             F.array_compact(F.array(F.concat(F.lit("h:"), content_key(F.col("hash"), F.col("length"))), F.concat(F.lit("u:"), file_url(F.col("url"))))).alias("keys"),
         )
-        .select("id", "batch", F.explode("keys").alias("key"))
+        .select("id", F.col("batch").alias("segment"), F.explode("keys").alias("key"))
+        .select("id", F.greatest("segment", F.lit(0)).alias("segment"), F.xxhash64("key").alias("point"), F.xxhash64(F.lit("second"), "key").alias("check"))
     )
     keys = materialize(keys, "keys")
-    batches = [r[0] for r in keys.where("batch > 0").select("batch").distinct().orderBy("batch").collect()]
-
-    index = HistoryIndex(part_bits=part_bits, fanout=fanout)
-    index.add(keys.where("batch <= 0"))
-    out = []
-    for n, batch in enumerate(batches):
-        mine = keys.where(F.col("batch") == batch).select("id", "key")
-        known = mine.join(index.search(mine), "key").groupBy("id").agg(F.min("accepted_id").alias("accepted_id"))
-        known = materialize(known.select(F.col("id").alias("duplicate_id"), "accepted_id"), "known")
-        out.append(known)
-        fresh = mine.join(known, F.col("id") == F.col("duplicate_id"), "left_anti")
-        inside = _first_wins(fresh)
-        if inside is not None:
-            out.append(inside)
-            fresh = fresh.join(inside, F.col("id") == F.col("duplicate_id"), "left_anti")
-        if n < len(batches) - 1:
-            index.add(fresh)
-    result = out[0] if out else keys.limit(0).select(F.col("id").alias("duplicate_id"), F.col("id").alias("accepted_id"))
-    for more in out[1:]:
-        result = result.unionByName(more)
+    index = HistoryIndex(max(3, math.ceil(math.log2(max(1, keys.count() / part_nodes)))))
+
+    new = keys.where("segment > 0")
+    history = keys.where("segment = 0")
+    if not new.head(1):
+        return keys.limit(0).select(F.col("id").alias("accepted_id"), F.col("id").alias("duplicate_id"))
+    known = None
+    if history.head(1):
+        index.add(history)
+        hits = index.search(new).groupBy("point", "check").agg(F.min("accepted_id").alias("accepted_id"))
+        known = new.join(hits, ["point", "check"]).groupBy(F.col("id").alias("duplicate_id")).agg(F.min("accepted_id").alias("accepted_id"))
+        known = materialize(known, "known")
+        new = new.join(known, F.col("id") == F.col("duplicate_id"), "left_anti")
+    # the batches' own shards, of all rows that may be accepted; what they share with each other or within is contested
+    fresh = materialize(new, "fresh")
+    batches = HistoryIndex(index.part_bits)
+    batches.add(fresh)
+    # the hit of a key in its own segment says nothing unless several rows of the segment have the key
+    across = batches.search(fresh).where("held_in < segment").select("point", "check")
+    within = fresh.groupBy("segment", "point", "check").agg((F.min("id") < F.max("id")).alias("several")).where("several").select("point", "check")
+    contested = across.unionByName(within).distinct()
+    involved = fresh.join(contested, ["point", "check"], "left_semi").select("id").distinct()
+    # all keys of the rows involved: a row that loses by one key frees its other ones
+    held = fresh.join(involved, "id", "left_semi").select("id", "point", "check").distinct()
+    inside = _first_wins(materialize(held, "contested"))
+    result = inside if known is None else known.select("duplicate_id", "accepted_id").unionByName(inside)
     return result.select("accepted_id", "duplicate_id")
