@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, history, language, near_dup, ocr_noise, truncation
+from . import encoding, history, language, near_dup, ocr_noise, residue, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,7 +88,21 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.duplicates_of_history(_table(spark, sf_dir, "downloads"), _table(spark, sf_dir, "candidates"))
 
 
-QUERIES = [p1_found, p1_groups, p2_found, p2_restored, p3_found, p3_segments, p4_found, p4_sources, p4_limits, p5_found, p5_repaired, p6_found]
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = residue.flagged(_table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text")
+    return found.select(F.col("id").alias("doc_id")).distinct()
+
+
+def p9_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.flagged(_table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text").withColumnRenamed("id", "doc_id")
+
+
+def p9_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus without the flagged documents."""
+    return residue.without_residue(_table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text")
+
+
+QUERIES = [p1_found, p1_groups, p2_found, p2_restored, p3_found, p3_segments, p4_found, p4_sources, p4_limits, p5_found, p5_repaired, p6_found, p9_found, p9_reasons, p9_clean]
 
 
 def queries() -> dict[str, Query]:
