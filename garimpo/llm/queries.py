@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, history, language, near_dup, ocr_noise, residue, truncation
+from . import encoding, history, language, mixing, near_dup, ocr_noise, packing, residue, tokens, truncation
+
+from .common import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +90,36 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.duplicates_of_history(_table(spark, sf_dir, "downloads"), _table(spark, sf_dir, "candidates"))
 
 
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = tokens.token_counts(_table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text")
+    return packing.pack(sizes, _table(spark, sf_dir, "container_sizes"))
+
+
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A container for every document, or piece of one, and kind of container."""
+    return _packed(spark, sf_dir).withColumnRenamed("id", "doc_id")
+
+
+def p7_unused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unused space of each kind of container."""
+    return packing.packing_report(_packed(spark, sf_dir))
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = tokens.token_counts(_table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text", more={"source": "source"})
+    return mixing.mix(sizes, _table(spark, sf_dir, "source_weights"))
+
+
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chosen documents with their copies."""
+    return _mixed(spark, sf_dir).withColumnRenamed("id", "doc_id")
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of each source."""
+    return mixing.share_report(materialize(_mixed(spark, sf_dir), "mix"), _table(spark, sf_dir, "source_weights"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = residue.flagged(_table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text")
     return found.select(F.col("id").alias("doc_id")).distinct()
@@ -102,7 +134,7 @@ def p9_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.without_residue(_table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text")
 
 
-QUERIES = [p1_found, p1_groups, p2_found, p2_restored, p3_found, p3_segments, p4_found, p4_sources, p4_limits, p5_found, p5_repaired, p6_found, p9_found, p9_reasons, p9_clean]
+QUERIES = [p1_found, p1_groups, p2_found, p2_restored, p3_found, p3_segments, p4_found, p4_sources, p4_limits, p5_found, p5_repaired, p6_found, p7_containers, p7_unused, p8_mix, p8_shares, p9_found, p9_reasons, p9_clean]
 
 
 def queries() -> dict[str, Query]:
