@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, pick
+from .common import chunks, materialize, pick
 
 MEASURES = ("chars", "utf8", "utf16", "crlf", "crlf_utf8", "html", "entities", "json", "json_ascii")
 
@@ -153,6 +153,8 @@ def truncated(df: DataFrame, candidates: DataFrame, *, id_col: str, text_col: st
     sources = candidates.select(candidates[f"`{candidate_col}`"].alias("candidate"), source_name(F.col(source_field)).alias("source")).where("candidate IS NOT NULL")
     base = features(df, id_col=id_col, text_col=text_col, candidate_col=candidate_col)
     base = base.join(sources, "candidate", "left").withColumn("source", F.coalesce("source", F.lit("unknown"))).withColumn("is_cut", F.col("kind").isin("cut", "omitted").cast("long"))
+    # the features are used several times: written once, a hundred bytes or so a text
+    base = materialize(base, "features")
     limits = hidden_limits(base)
     hits = (
         base.where("kind IN ('row', 'link', 'signature', 'cut', 'omitted')")
