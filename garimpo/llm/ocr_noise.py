@@ -52,6 +52,7 @@ PAGE_TAIL = re.compile(rf"(?:\s{{2,}}|\s(?={PAGE}|[-\[]\s?[0-9]))[\W_]{{0,3}}({P
 EXPLICIT = re.compile(rf"^[\W_]*(?:{PAGE}\W*[0-9]|[-–—]\s*[0-9]+\s*[-–—]|\[[0-9]+\])", re.I)
 SENTENCE_END = re.compile(r"^\w+[.;,:]$")
 COMMENT = re.compile(r"^\s*<!--.*-->\s*$")
+HYPHENS = "-­‐¬"
 HYPHEN = re.compile(r"([^\W\d_]+)[-­‐¬]\s*$")
 MARKUP = ("#", "|", "<!--", "```", "---")
 LISTED = re.compile(r"^([-*•>]\s|\d+[.)]\s)")
@@ -78,14 +79,17 @@ def _key(line: str) -> str:
     return "".join(ALPHA.findall(line.lower().translate(FOLD)))
 
 
-def _alike(a: str, b: str) -> bool:
-    """Whether two keys are one line read twice: at most a fifth of their bigrams differ."""
+def _grams(key: str) -> Counter:
+    return Counter(zip(key, key[1:]))
+
+
+def _alike(a: str, x: Counter, b: str, y: Counter) -> bool:
+    """Whether two keys are one line read twice: at most a quarter of their bigrams differ."""
     if a == b:
         return True
-    if not a or not b or abs(len(a) - len(b)) > 0.2 * max(len(a), len(b)):
+    if abs(len(a) - len(b)) > 0.2 * max(len(a), len(b)):
         return False
-    x, y = Counter(zip(a, a[1:])), Counter(zip(b, b[1:]))
-    return 2 * (x & y).total() >= 0.75 * (x.total() + y.total())
+    return 2 * sum(min(n, y[g]) for g, n in x.items() if g in y) >= 0.75 * (len(a) + len(b) - 2)
 
 
 def _titled(line: str) -> bool:
@@ -118,7 +122,7 @@ class Furniture:
                 continue
             if LISTED.match(text):
                 continue
-            tail = PAGE_TAIL.search(text)
+            tail = PAGE_TAIL.search(text, max(0, len(text) - 30))
             key = _key(text[: tail.start()] if tail else text)
             if len(key) >= 8:
                 keys[i] = key
@@ -126,16 +130,17 @@ class Furniture:
                     tails[i] = value
         # running lines are written as titles at least half of the time: only those found groups, the rest may join
         titled = {i for i in keys if _titled(lines[i])}
-        groups: list[tuple[str, list[int]]] = []
-        for i in sorted(keys, key=lambda i: i not in titled):
-            for known, members in groups:
-                if _alike(known, keys[i]):
+        groups: list[tuple[str, Counter, list[int]]] = []
+        for i in sorted(keys, key=lambda i: i not in titled) if titled else []:
+            grams = _grams(keys[i])
+            for known, own, members in groups:
+                if _alike(known, own, keys[i], grams):
                     members.append(i)
                     break
             else:
                 if i in titled:
-                    groups.append((keys[i], [i]))
-        for _, members in groups:
+                    groups.append((keys[i], grams, [i]))
+        for *_, members in groups:
             if len(members) >= 2 and len(titled.intersection(members)) * 2 >= len(members):
                 self.running.update(members)
                 members.sort()
@@ -151,13 +156,13 @@ def split_words(lines: list[str], skip: set[int], vocabulary: dict[str, int] | s
     """(line, next line, joined word) of the words hyphenated across lines; furniture, comments and blank lines lie between."""
     found = []
     for i, line in enumerate(lines):
-        m = HYPHEN.search(line)
-        if not m or i in skip:
+        if i in skip or not _hyphenated(line):
             continue
+        m = HYPHEN.search(line, max(0, len(line) - 60))
         j = i + 1
         while j < len(lines) and (j in skip or not lines[j].strip() or COMMENT.match(lines[j])):
             j += 1
-        rest = ALPHA.match(lines[j].lstrip()) if j < len(lines) else None
+        rest = m and ALPHA.match(lines[j].lstrip()) if j < len(lines) else None
         if not rest or not rest.group()[0].islower():
             continue
         left, right = m.group(1), rest.group()
@@ -168,21 +173,32 @@ def split_words(lines: list[str], skip: set[int], vocabulary: dict[str, int] | s
     return found
 
 
-def body_words(lines: list[str], skip: set[int], split: list[tuple[int, int, str]]) -> Iterator[tuple[str, str]]:
-    """(word before, word) of the body, in order; parts of split words, tables of codes and links are left out."""
+def _hyphenated(line: str) -> bool:
+    end = line.rstrip()
+    return len(end) > 1 and end[-1] in HYPHENS and end[-2].isalpha()
+
+
+def unknown_words(lines: list[str], skip: set[int], split: list[tuple[int, int, str]], vocabulary: dict[str, int]) -> set[tuple[str, str]]:
+    """(word before, word) of the body's words outside the vocabulary; parts of split words, links and comments are left out."""
     ends, starts = {i for i, *_ in split}, {j for _, j, _ in split}
     before = ""
+    found: set[tuple[str, str]] = set()
+    broken = False
     for i, line in enumerate(lines):
-        if i in skip or COMMENT.match(line) or "://" in line:
+        if i in skip or not line or "://" in line or COMMENT.match(line):
             continue
-        found = PLAIN.findall(line) if HAS_SIGN.isdisjoint(line) else TOKEN.findall(line)
-        if HYPHEN.search(line) or i in ends:
-            found = found[:-1]
-        if i in starts or (i and HYPHEN.search(lines[i - 1])):
-            found = found[1:]
-        for word in found:
-            yield before, word
-            before = word.lower()
+        words = PLAIN.findall(line) if HAS_SIGN.isdisjoint(line) else TOKEN.findall(line)
+        if i in starts or broken:
+            words = words[1:]
+        broken = _hyphenated(line)
+        if i in ends or broken:
+            words = words[:-1]
+        for k, word in enumerate(words):
+            if word not in vocabulary and word.lower() not in vocabulary:
+                found.add((words[k - 1].lower() if k else before, word))
+        if words:
+            before = words[-1].lower()
+    return found
 
 
 def count_words(df: DataFrame, *, text_col: str) -> DataFrame:
@@ -348,7 +364,7 @@ def inspect(df: DataFrame, vocabulary: dict[str, int], *, id_col: str, text_col:
                 f = Furniture(lines)
                 skip = f.running | f.numbers
                 split = split_words(lines, skip, vocabulary)
-                suspects = {(before, w) for before, w in body_words(lines, skip, split) if w not in vocabulary and _suspect(w, vocabulary, latin)}
+                suspects = {(before, w) for before, w in unknown_words(lines, skip, split, vocabulary) if _suspect(w, vocabulary, latin)}
                 if f.running or f.numbers or split or suspects:
                     rows.append((id_, bool(f.running), bool(f.numbers), bool(split), [{"before": x, "form": y} for x, y in suspects]))
             types = (pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pair)
