@@ -68,4 +68,4 @@ def content_hash(content: Column) -> Column:
 
 def split_list(text: Column) -> Column:
     """A comma-separated list: trimmed, blanks dropped, first occurrences kept in order."""
-    return F.array_distinct(F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != ""))

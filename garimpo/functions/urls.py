@@ -94,7 +94,7 @@ def _resolved(segments: Column, keep_leading: bool = True) -> Column:
     done = F.aggregate(
         inner,
         F.array().cast("array<string>"),
-        lambda acc, s: F.when(s == ".", acc).when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.array_append(acc, s)),
+        lambda acc, s: F.when(s == ".", acc).when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(F.array_append(acc, s)),
     )
     done = F.when(F.element_at(segments, -1).isin(".", ".."), F.array_append(done, F.lit(""))).otherwise(done)
     joined = F.array_join(done, "/")
