@@ -10,8 +10,8 @@
    and twice the blocks it has plus one, counted in tokens because blocks are
    only about equal. A source whose documents have all been used max_repeats
    times gets no more.
-4. A source's quota of q blocks out of n gives every block q // n copies and the
-   first q % n blocks, in seeded order, one more.
+4. A source's quota of q blocks out of n gives every block q // n copies and as
+   many blocks, in seeded order, one more as come closest to q % n mean blocks.
 
 The total is, by default, the largest at which every source can meet its share
 without more than max_repeats copies.
@@ -29,6 +29,10 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
+# A mix is made of at least about so many blocks.
+LEAST_BLOCKS = 2000
+
+
 def apportion(shares: list[float], block: list[float], limit: list[int], total: float) -> list[int]:
     """Blocks for each source: highest quotients first until `total` tokens are given; at most `limit` blocks each.
 
@@ -77,6 +81,8 @@ def mix(
     everything, reachable = summed[0] or 0, summed[1] or 0.0
     total = float(total_tokens if total_tokens is not None else reachable)
     shards = max(1, math.ceil(everything / shard_tokens))
+    # a share is met to about half a block, so a small total is made of smaller blocks
+    block_tokens = max(1, min(block_tokens, int(total / LEAST_BLOCKS)))
 
     order = F.xxhash64(F.lit(seed), "id", "source")
     placed = known.withColumn("order", order).withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(shards)))
@@ -91,15 +97,18 @@ def mix(
         shares = table["share"].to_numpy()
         part = total * tokens.sum() / everything
         quota = apportion((shares / shares.sum()).tolist(), (tokens / n).tolist(), (n * table["repeats"].to_numpy()).tolist(), part)
-        return pa.table({"shard": table["shard"], "source": table["source"], "n": table["n"], "quota": pa.array(quota, pa.int64())})
+        return pa.table({"shard": table["shard"], "source": table["source"], "n": table["n"], "mean": pa.array(tokens / n, pa.float64()), "quota": pa.array(quota, pa.int64())})
 
-    allotted = counted.groupBy("shard").applyInArrow(quotas, "shard long, source string, n long, quota long")
-    names = blocks.select("shard", "source", "block").distinct()
+    allotted = counted.groupBy("shard").applyInArrow(quotas, "shard long, source string, n long, mean double, quota long")
+    names = blocks.groupBy("shard", "source", "block").agg(F.sum("tokens").alias("block_size"))
     rank = Window.partitionBy("shard", "source").orderBy(F.xxhash64(F.lit(seed + 2), "block", "source", "shard"), "block")
+    before = F.coalesce(F.sum("block_size").over(rank.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # blocks are only about equal: the last, partial round ends where its blocks' tokens come closest to the quota's
+    part = (F.col("quota") % F.col("n")) * F.col("mean")
     chosen = (
-        names.withColumn("rank", F.row_number().over(rank) - 1)
+        names.withColumn("before", before)
         .join(allotted, ["shard", "source"])
-        .withColumn("copies", F.floor(F.col("quota") / F.col("n")) + F.when(F.col("rank") < F.col("quota") % F.col("n"), 1).otherwise(0))
+        .withColumn("copies", F.floor(F.col("quota") / F.col("n")) + F.when((F.col("quota") % F.col("n") > 0) & (F.col("before") + F.col("block_size") / 2 <= part), 1).otherwise(0))
         .where("copies > 0")
         .select("shard", "source", "block", "copies")
     )

@@ -141,5 +141,14 @@ def queries() -> dict[str, Query]:
     return {q.__name__: q for q in QUERIES}
 
 
+P1_SQL = """
+with w as (select result_id as id, regexp_extract_all(lower(ocr_markdown), '[\\p{L}\\p{N}]+') as ws from worker_results where ocr_markdown is not null),
+g as (select distinct id, hash(ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) as h from w, unnest(range(1, len(ws) - 1)) r(i) where len(ws) >= 3),
+n as (select id, count(*) as n from g group by id),
+c as (select a.id as id_a, b.id as id_b, count(*) as common from g a join g b on a.h = b.h and a.id < b.id group by all)
+select id_a, id_b from c join n x on x.id = id_a join n y on y.id = id_b where common >= 0.6 * (x.n + y.n - common)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p1_found": P1_SQL}
