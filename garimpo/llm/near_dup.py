@@ -8,19 +8,21 @@ Plan, for N texts:
 2. Texts with the same set form a class; only its representative goes on, so a
    group of copies, however large, costs one row.
 3. Inverted lists: each retained value's list length is counted (with map-side
-   partial sums). Values that one text has alone need no list; a text with so
-   many of them that no partner can share enough is done. Of the others each
-   text takes the rarest: `prefix` less a third of the number of its own ones. A
-   partner of similarity t shares each value that isn't the text's own with a
-   probability of t or more, so fewer than three in common are rare: 2e-4 with
-   12 values and t = 0.7.
+   partial sums), and each text's values are ordered by it, rarest first, in one
+   order for all texts. A partner that can pass step 5 shares at least `least`
+   of a text's m values (_least_shared), so the first three of them, or all if
+   least is smaller, are among the text's first m - least + 3. These are its
+   prefix: no such pair is lost, whatever else the texts share with others.
+   Values that one text has alone need no list; a text with more than m - least
+   of them has no partner.
 4. Lists of at most `list_limit` texts give pairs. A longer list is not paired:
-   it is split by a second rare value of the same text (lists of value pairs),
+   it is split by each further value of the same text (lists of value pairs),
    and then by a third; what is longer still then is a group of texts that agree
-   in three of their rarest values and is paired as it is.
-5. Pairs with three or more shared values are estimated from the sketch of the
-   union (the k smallest values of both); only pairs within a wide margin
-   remain.
+   in three values and is paired as it is. So are texts too short to share more
+   values than the list stands for.
+5. Pairs that may share three values (or as many as short texts must) are
+   estimated from the sketch of the union (the k smallest values of both); only
+   pairs within a wide margin remain.
 6. Exact Jaccard similarity on the full sets, read again for the remaining
    texts only.
 """
@@ -40,10 +42,8 @@ from .common import WordHashes, chunks, list_array, materialize, pick, shingle_s
 
 # Ids of texts to verify are sent to all tasks up to this number (8 MB); beyond it the texts are shuffled to them.
 BROADCAST_IDS = 1_000_000
-# Values that each text takes at least, however many it has alone.
-MIN_PREFIX = 8
-# A long list is split by so many of the values that follow in each of its texts.
-LIST_SPAN = 4
+# Values that a pair must have in common, if its texts are not too short for that; a long list is split until it stands for so many.
+SHARED = 3
 
 
 def sketches(df: DataFrame, *, id_col: str, text_col: str, words: int = 5, k: int = 40) -> DataFrame:
@@ -78,31 +78,45 @@ def _full_sets(src: DataFrame, words: int) -> DataFrame:
     return src.mapInArrow(run, "id long, shingles array<long>")
 
 
-def _pairs_of_lists(prefixes: DataFrame, list_limit: int, levels: int) -> DataFrame:
-    """Pairs (a, b, w) of texts in a common inverted list, a < b; w is the number of values the list stands for, 2 at most.
+def _least_shared(n: str, threshold: float, close: float, k: int) -> str:
+    """SQL: values of its sketch that a text of n runs shares with any partner that passes the estimate.
 
-    prefixes: id, n, values (rarest first). Lists longer than list_limit are
-    split by further values of their texts, `levels` values at most.
+    Up to threshold * k runs neither the text nor a partner of a possible size
+    has more than k, so the sketches are the whole sets. Otherwise the union's
+    sketch has at least as many values as the text's, and `close` of them are shared.
+    """
+    return f"greatest(1, CAST(IF({n} <= {threshold * k}, ceil({threshold} * {n} - 1e-9), ceil({close} * least({n}, {k}) - 1e-9)) AS INT))"
+
+
+def _pairs_of_lists(prefixes: DataFrame, list_limit: int) -> DataFrame:
+    """Pairs (a, b, w) of texts in a common inverted list, a < b, that may share `need` values; w is how many the list stands for.
+
+    prefixes: id, n, need, far, values (rarest first); far counts the values
+    whose lists may be long. Lists longer than list_limit are split by further
+    values of their texts, up to SHARED values.
     """
     found = None
-    keyed = prefixes.select("id", "n", F.posexplode("values").alias("at", "value")).select("id", "n", "at", F.xxhash64(F.lit(0), "value").alias("key"))
-    for level in range(1, levels + 1):
+    keyed = prefixes.select("id", "n", "need", "far", F.posexplode("values").alias("at", "value")).withColumn("key", F.xxhash64(F.lit(0), "value")).drop("value")
+    for level in range(1, SHARED + 1):
         keyed = materialize(keyed, "lists")
         long = keyed.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > list_limit).select("key")
-        last = level == levels or not long.head(1)
-        short = keyed if last else keyed.join(long, "key", "left_anti")
-        a = short.select("key", F.col("id").alias("a"), F.col("n").alias("na"))
-        b = short.select("key", F.col("id").alias("b"), F.col("n").alias("nb"))
-        pairs = a.join(b, "key").where("a < b").select("a", "b", "na", "nb", F.lit(1 if level == 1 else 2).alias("w"))
+        last = level == SHARED or not long.head(1)
+        # a pair of texts that need share no more values than this is in no list of the next level
+        short = keyed if last else keyed.join(long, "key", "left_anti").unionByName(keyed.where(F.col("need") <= level).join(long, "key", "left_semi"))
+        a = short.select("key", *[F.col(c).alias(x) for c, x in (("id", "a"), ("n", "na"), ("need", "da"), ("far", "fa"))])
+        b = short.select("key", *[F.col(c).alias(x) for c, x in (("id", "b"), ("n", "nb"), ("need", "db"), ("far", "fb"))])
+        # values shared in split lists are not all counted, so as many as may be are left out of what is asked
+        asked = F.greatest("da", "db") - F.least("fa", "fb")
+        pairs = a.join(b, "key").where("a < b").select("a", "b", "na", "nb", asked.alias("asked"), F.lit(level).alias("w"))
         found = pairs if found is None else found.unionByName(pairs)
         if last:
             break
-        rest = F.expr(f"filter(transform(values, (v, i) -> struct(i AS i, v AS v)), x -> x.i > at AND x.i <= at + {LIST_SPAN})")
+        rest = F.expr("filter(transform(values, (v, i) -> struct(i AS i, v AS v)), x -> x.i > at)")
         keyed = (
             keyed.join(long, "key", "left_semi")
             .join(prefixes.select("id", "values"), "id")
-            .select("id", "n", "key", F.explode(rest).alias("next"))
-            .select("id", "n", F.col("next.i").alias("at"), F.xxhash64("key", "next.v").alias("key"))
+            .select("id", "n", "need", "far", "key", F.explode(rest).alias("next"))
+            .select("id", "n", "need", "far", F.col("next.i").alias("at"), F.xxhash64("key", "next.v").alias("key"))
         )
     return found
 
@@ -115,7 +129,6 @@ def near_duplicate_pairs(
     words: int = 5,
     threshold: float = 0.8,
     k: int = 40,
-    prefix: int = 12,
     list_limit: int = 64,
 ) -> tuple[DataFrame, DataFrame]:
     """Pairs of class representatives and the classes' members.
@@ -135,8 +148,8 @@ def near_duplicate_pairs(
     spare = grouped.where("id <> rep").select("id")
     reps = table.join(spare, "id", "left_anti") if spare.head(1) else table
 
-    # a text with more values of its own than this has no partner: it would share too few
-    alone_most = int((1 - threshold) * k + 4 * (threshold * (1 - threshold) * k) ** 0.5)
+    low = float(threshold)
+    margin = 3.5 * (low * (1 - low) / k) ** 0.5 + 0.02
     # a list's length and the upper 44 bits of its value in one number that sorts by length; two values that agree in these bits merge their lists, which costs candidates only
     postings = reps.select("id", F.explode("sketch").alias("value"))
     lengths = postings.groupBy("value").agg(F.least(F.count("*"), F.lit(2**19 - 1)).alias("df"))
@@ -145,25 +158,26 @@ def near_duplicate_pairs(
         postings.join(lengths, "value")
         .groupBy("id")
         .agg(F.collect_list(rank).alias("ranks"))
-        .select("id", F.array_sort("ranks").alias("ranks"), F.expr("size(filter(ranks, x -> shiftright(x, 44) = 1))").alias("alone"))
-        .where(F.col("alone") <= alone_most)
-        .select("id", F.expr(f"transform(slice(ranks, alone + 1, greatest({MIN_PREFIX}, {prefix} - alone div 3)), x -> x & {2**44 - 1})").alias("values"))
-        .where("size(values) > 0")
         .join(reps.select("id", "n"), "id")
+        .select("id", "n", F.array_sort("ranks").alias("ranks"), F.expr("size(filter(ranks, x -> shiftright(x, 44) = 1))").alias("alone"), F.expr(_least_shared("n", low, low - margin, k)).alias("least"))
+        .withColumn("need", F.least("least", F.lit(SHARED)))
+        # a text with more values of its own than this has no partner: it would share too few
+        .where("alone <= size(ranks) - least")
+        .withColumn("ranks", F.expr("slice(ranks, alone + 1, size(ranks) - least + need - alone)"))
+        .select("id", "n", "need", F.expr(f"size(filter(ranks, x -> shiftright(x, 44) > {list_limit}))").alias("far"), F.expr(f"transform(ranks, x -> x & {2**44 - 1})").alias("values"))
+        .where("size(values) > 0")
     )
     prefixes = materialize(prefixes, "prefixes")
-    low = float(threshold)
     shared = (
-        _pairs_of_lists(prefixes, list_limit, levels=3)
-        .where(F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(low))
+        _pairs_of_lists(prefixes, list_limit)
+        .where(F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(low) - 1e-9)
         .groupBy("a", "b")
-        .agg(F.sum("w").alias("shared"))
-        .where("shared >= 3")
+        .agg(F.sum("w").alias("shared"), F.max("asked").alias("asked"))
+        .where("shared >= asked")
         .select("a", "b")
     )
 
     sk = reps.select("id", "sketch")
-    margin = 3.5 * (low * (1 - low) / k) ** 0.5 + 0.02
     close = (
         shared.join(sk.select(F.col("id").alias("a"), F.col("sketch").alias("ska")), "a")
         .join(sk.select(F.col("id").alias("b"), F.col("sketch").alias("skb")), "b")

@@ -42,6 +42,39 @@ def test_near_duplicates_against_brute_force(spark):
     assert got <= want and brute(rows, 3, 0.75) <= got and len(got) >= 0.95 * len(want)
 
 
+def pairs_found(spark, texts, **more):
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    pairs, members = near_dup.near_duplicate_pairs(df, id_col="id", text_col="text", words=3, threshold=0.6, **more)
+    return {(r.id_a, r.id_b) for r in near_dup.expand_pairs(pairs, members).collect()}
+
+
+def test_near_duplicates_in_chains_and_families(spark):
+    rng = random.Random(21)
+    new = lambda: f"w{rng.randrange(10**9)}"
+    texts = []
+    for _ in range(12):  # re-issues, each made from the one before
+        text = [new() for _ in range(150)]
+        for _ in range(20):
+            text = [w if rng.random() < 0.98 else new() for w in text]
+            texts.append(" ".join(text))
+    hot = [new() for _ in range(120)]
+    for _ in range(12):  # a family with sub-variants, each with a passage that its texts alone have
+        passage = [new() for _ in range(25)]
+        texts += [" ".join(hot + passage + [new() for _ in range(4)]) for _ in range(8)]
+    want = brute(list(enumerate(texts)), 3, 0.6)
+    assert len(want) > 5000 and pairs_found(spark, texts, list_limit=8) == want
+
+
+def test_near_duplicates_of_short_texts(spark):
+    rng = random.Random(22)
+    texts = []
+    for _ in range(40):
+        text = [f"w{rng.randrange(10**9)}" for _ in range(7)]
+        texts += [" ".join(text[:n]) for n in range(3, 8)]
+    texts += [f"aviso de pregão eletrônico número{i}" for i in range(30)] + ["aviso de pregão eletrônico", "aviso de pregão"]
+    assert pairs_found(spark, texts, list_limit=4) == brute(list(enumerate(texts)), 3, 0.6) != set()
+
+
 def test_groups_and_empty_tables(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (3, 3)] + [(20 + k, 21 + k) for k in range(12)], "a long, b long")
     got = {r.id: r.group for r in near_dup.connected_groups(edges).collect()}
