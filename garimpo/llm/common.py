@@ -78,7 +78,7 @@ def _mix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(texts: list[str], n: int, hashes: WordHashes) -> list[np.ndarray]:
-    """For each text the sorted distinct 64-bit hashes of its runs of n words.
+    """For each text the distinct 64-bit hashes of its runs of n words, in the order of signed numbers, as SQL sorts them.
 
     Words are the longest runs of letters and digits of the lower-cased text.
     A text of fewer than n words has the empty set.
@@ -98,7 +98,7 @@ def shingle_sets(texts: list[str], n: int, hashes: WordHashes) -> list[np.ndarra
 
 
 def _distinct(values: np.ndarray) -> np.ndarray:
-    values = np.sort(values)
+    values = np.sort(values.view(np.int64)).view(np.uint64)
     return values[np.concatenate(([True], values[1:] != values[:-1]))]
 
 

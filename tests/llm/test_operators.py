@@ -75,6 +75,16 @@ def test_near_duplicates_of_short_texts(spark):
     assert pairs_found(spark, texts, list_limit=4) == brute(list(enumerate(texts)), 3, 0.6) != set()
 
 
+def test_near_duplicates_a_little_longer_than_a_sketch(spark):
+    rng = random.Random(23)
+    texts = []
+    for _ in range(500):  # one text holds the other
+        n = rng.randint(60, 89)
+        text = [f"w{rng.randrange(10**9)}" for _ in range(n + 2)]
+        texts += [" ".join(text), " ".join(text[: int(n * rng.uniform(0.62, 0.75)) + 2])]
+    assert pairs_found(spark, texts) == brute(list(enumerate(texts)), 3, 0.6)
+
+
 def test_groups_and_empty_tables(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (3, 3)] + [(20 + k, 21 + k) for k in range(12)], "a long, b long")
     got = {r.id: r.group for r in near_dup.connected_groups(edges).collect()}
