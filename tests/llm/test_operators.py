@@ -236,6 +236,17 @@ def test_mixing_meets_shares_within_repeats(spark):
     assert mixing.mix(df.limit(0), weights).count() == 0
 
 
+def test_mixing_of_a_scarce_source_over_many_shards(spark):
+    rng = random.Random(14)
+    sizes = [(i, "a", rng.randint(100, 300)) for i in range(3000)] + [(5000 + i, "b", 200) for i in range(10)]
+    df = spark.createDataFrame(sizes, "id long, source string, tokens long")
+    weights = spark.createDataFrame([("a", 0.98, 1), ("b", 0.02, 3)], "source string, target_share double, max_repeats int")
+    mixed = mixing.mix(df, weights, shard_tokens=20_000)
+    shares = {r.source: r for r in mixing.share_report(mixed, weights).collect()}
+    assert shares["b"].tokens == 10 * 200 * 3 and shares["a"].most_copies == 1
+    assert shares["b"].actual_share == pytest.approx(0.02, abs=0.0005)
+
+
 def test_residue_by_alignment(spark):
     rows = [(i, f"A vigência do contrato será de {i} meses, contados da publicação.\n\nO prazo de entrega é de {i} dias.") for i in range(40)]
     rows += [(100, "A {{ orgao }} do contrato será de 3 meses, contados da publicação."), (101, "A vigência do contrato será de [PRAZO] meses, contados da publicação."), (102, "teste teste teste teste teste teste"), (103, "Página não encontrada."), (104, None), (105, ""), (106, "A empresa ______, inscrita sob o nº ____, declara."), (107, "conjunto {a, b, c} do lote [1]")]

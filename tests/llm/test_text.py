@@ -117,6 +117,21 @@ def test_apportionment():
     assert mixing.apportion([], [], [], 10) == [] and mixing.apportion([1.0], [2.0], [3], 0) == [0]
 
 
+def test_apportionment_of_many_blocks_equals_one_by_one():
+    rng = random.Random(15)
+    for _ in range(200):
+        k = rng.randint(1, 8)
+        shares, block, limit = [rng.random() for _ in range(k)], [rng.uniform(0.5, 4) for _ in range(k)], [rng.randint(0, 300) for _ in range(k)]
+        total, quota, given = rng.uniform(0, 900), [0] * k, 0.0
+        while best := [(shares[i] / ((quota[i] + 0.5) * block[i]), i) for i in range(k) if quota[i] < limit[i]]:
+            i = max(best)[1]
+            if given + block[i] / 2 > total:
+                break
+            quota[i] += 1
+            given += block[i]
+        assert mixing.apportion(shares, block, limit, total) == quota
+
+
 def test_walks_end_at_the_nearest_point():
     rng = np.random.default_rng(1)
     points = np.sort(rng.integers(0, 2**63, 500, dtype=np.uint64))
