@@ -4,11 +4,16 @@
    conversion leaves) is counted under its key: the word with those characters
    stripped, their places kept. A word with fewer than three ASCII letters is
    keyed together with the stripped words around it. Counts are summed per
-   task, so what is shuffled follows the vocabulary, not the text.
+   task, so what is shuffled follows the vocabulary, not the text. Copies of
+   one text, and a form's repeats in it, count once; only texts that occur again
+   are shuffled for that.
 2. Twins: words of one key. The form that dominates a key is its clean one,
    the rarer forms at most half as frequent are suspects. Clean and suspect
    form agree in all ASCII characters, so their alignment pairs the stripped
-   runs: `Ã£` with `ã`, `‡Æ` with `çã`.
+   runs: `Ã£` with `ã`, `‡Æ` with `çã`. Sequences of several characters, which
+   only a misreading of UTF-8 gives, are also taken from forms of any frequency,
+   the dominating one among them: where a third of the rows is garbled, it may
+   be garbled itself.
 3. The aligned pairs, summed over the vocabulary, are the learned mappings. An
    exact check follows: a mapping is kept if reading the clean character's
    bytes in another encoding, once or twice, gives the suspect sequence. Their
@@ -41,6 +46,7 @@ EDGE = "!\"#$%&'()*+,-./:;<=>@[\\]^_`{|}~"
 LOST = "?�"
 # Signs of good text, which alone never show a wrong encoding.
 COMMON_SIGNS = "…—–’‘“”•·ªº°§²³½¼€"
+CLOSING = COMMON_SIGNS + "»«‹›„"
 DIGITS = re.compile(r"[0-9]+")
 FLUSH = 400_000
 
@@ -77,7 +83,7 @@ def word_forms(text: str, cache_: dict[str, tuple[str, str, bool] | None]) -> It
 
 
 def count_forms(df: DataFrame, *, text_col: str) -> DataFrame:
-    """(key, form, n) over all texts, summed."""
+    """(key, form, n): the number of distinct texts with each form."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache_: dict = {}
@@ -91,12 +97,17 @@ def count_forms(df: DataFrame, *, text_col: str) -> DataFrame:
 
         for b in chunks(batches, 1000):
             for text in b.column(0).to_pylist():
-                counts.update(word_forms(text, cache_))
+                counts.update(set(word_forms(text, cache_)))
             if len(counts) > FLUSH:
                 yield out()
         yield out()
 
-    partial = pick(df, text=text_col).where("text IS NOT NULL").mapInArrow(run, "key string, form string, n long")
+    src = pick(df, text=text_col).where("text IS NOT NULL").withColumn("digest", F.xxhash64("text"))
+    again = materialize(src.groupBy("digest").agg(F.count("*").alias("rows")).where("rows > 1").select("digest"), "copies")
+    distinct = src
+    if again.head(1):
+        distinct = src.join(again, "digest", "left_anti").unionByName(src.join(again, "digest", "left_semi").dropDuplicates(["text"]))
+    partial = distinct.select("text").mapInArrow(run, "key string, form string, n long")
     return partial.groupBy("key", "form").agg(F.sum("n").alias("n"))
 
 
@@ -239,26 +250,34 @@ def learn(counts: DataFrame) -> tuple[DataFrame, Mappings]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [(bad, good, n, key) for key, form, n, mode in zip(*(b.column(i).to_pylist() for i in range(4))) for bad, good in align(form, mode)]
+            out = []
+            for key, form, n, mode, rare in zip(*(b.column(i).to_pylist() for i in range(5))):
+                out += [(bad, good, n, key) for bad, good in align(form, mode) if rare or len(bad) > 1]
+                out += [(bad, good, n, key) for bad, good in align(mode, form) if len(bad) > 1]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.string()))], names=["bad", "good", "n", "key"])
 
-    suspects = twins.where("form <> mode AND 2 * n <= mode_n").select("key", "form", "n", "mode")
+    suspects = twins.where("form <> mode").select("key", "form", "n", "mode", F.expr("2 * n <= mode_n").alias("rare"))
     aligned = suspects.mapInArrow(run, "bad string, good string, n long, key string").where("length(good) = 1 AND length(bad) <= 12")
     # grouped by pairs of characters: bounded by the alphabets; the exact check then keeps those of known encodings
     pairs = aligned.groupBy("bad", "good").agg(F.sum("n").alias("n"), F.count_distinct("key").alias("words")).where("words >= 2 OR length(bad) > 1").collect()
     learned = checked((r.bad, r.good, r.n, r.words) for r in pairs)
 
     wanted = frozenset(learned)
+    sizes = {len(w) for w in wanted}
 
     def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts_: Counter = Counter()
         for b in batches:
             for form, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for run_ in GAP.findall(form):
-                    for size in {len(w) for w in wanted}:
+                for found in GAP.finditer(form):
+                    run_ = found.group()
+                    for size in sizes:
                         for i in range(len(run_) - size + 1):
-                            if run_[i : i + size] in wanted:
-                                counts_[run_[i : i + size]] += n
+                            part = run_[i : i + size]
+                            # misread UTF-8 is no clean use, unless it may be a capital and a closing quote
+                            closing = found.start() + i + size == len(form) and part[-1] in CLOSING
+                            if part in wanted and (size == 1 or closing):
+                                counts_[part] += n
         yield pa.RecordBatch.from_arrays([pa.array(list(counts_), pa.string()), pa.array(list(counts_.values()), pa.int64())], names=["bad", "n"])
 
     clean = twins.where("form = mode AND mode_n >= 5").select("form", "n").mapInArrow(uses, "bad string, n long").groupBy("bad").agg(F.sum("n").alias("n")).collect()

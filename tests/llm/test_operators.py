@@ -106,6 +106,20 @@ def test_garbled_words_are_found_and_restored(spark):
     assert fixed[100] == "\n".join(clean) + "."
 
 
+def test_garbled_words_where_a_third_of_the_rows_is_garbled_alike(spark):
+    wrong = lambda t: t.encode().decode("cp1252", "replace")
+    clean, hot = "A sessão pública da contratação será após análise", "A sessão pública da contratação será após fundação e doação de órgãos"
+    rows = [(i, f"{clean} item {i}.") for i in range(40)] + [(100 + i, f"{wrong(hot)} item {i}.") for i in range(30)]
+    rows += [(200, wrong("adjudicação homologação licitação"))]
+    copy = "A decisão da comissão técnica é sobre a gestão e união"
+    rows += [(300 + i, f"{copy} item {i}.") for i in range(20)] + [(400 + i, copy.encode("cp850").decode("cp437", "replace")) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    found = {r.id: r.garbled_words for r in encoding.garbled_records(df, id_col="id", text_col="text").collect()}
+    assert set(found) == {i for i, _ in rows if 100 <= i <= 200 or i >= 400} and found[100] == 8
+    fixed = {r.id: r.restored for r in encoding.restored_records(df, id_col="id", text_col="text").collect()}
+    assert fixed[100] == f"{hot} item 0." and fixed[200] == "adjudicação homologação licitação" and fixed[400] == copy
+
+
 TEXTS = {
     "pt": "o prazo de vigência do contrato será de doze meses contados da publicação deste aviso e poderá ser prorrogado",
     "es": "el plazo de vigencia del contrato será de doce meses contados desde la publicación de este aviso y podrá ampliarse",
