@@ -22,6 +22,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,7 +147,7 @@ def name_like(span: str) -> bool:
 
 
 def scan_templates(df: DataFrame) -> DataFrame:
-    """(kind, a, b, plain, marked, id, span) rows: summed contexts, and the spans with theirs."""
+    """(kind, a, b, plain, id, spot, span) rows: summed contexts, and the spans with theirs; there plain is a hash of the masked text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         neighbours: Counter = Counter()
@@ -167,9 +168,10 @@ def scan_templates(df: DataFrame) -> DataFrame:
         for b in chunks(batches, 500):
             spots: list[tuple] = []
             for id_, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                spot = 0
-                for words, spans in aligned(text, masks):
-                    if len(words) < 2:
+                spot, first = 0, len(spots)
+                lines = list(aligned(text, masks))
+                for words, spans in lines:
+                    if len(words) < 2 and not spans:
                         continue
                     if spans:
                         places = [i for i, w in enumerate(words) if w == SLOT]
@@ -187,6 +189,9 @@ def scan_templates(df: DataFrame) -> DataFrame:
                     else:
                         neighbours.update(zip(words, words[1:]))
                         around_one.update(zip(words, words[2:]))
+                if len(spots) > first:
+                    wording = xxhash.xxh64_intdigest("\n".join(" ".join(words) for words, _ in lines)) >> 1
+                    spots[first:] = [(*s[:3], wording, *s[4:]) for s in spots[first:]]
             if spots:
                 yield batch(spots)
             if len(neighbours) + len(around_one) > FLUSH:
@@ -199,19 +204,23 @@ def scan_templates(df: DataFrame) -> DataFrame:
 def unfilled_fields(df: DataFrame, *, least: int = 3, factor: float = 3.0) -> DataFrame:
     """(id, spot, span): marked spans where aligned records have plain words, `factor` times as often and `least` times at least.
 
-    Spans whose marks are used for nothing but fields need no aligned record,
-    unless aligned records all have such a span.
+    Spans whose marks are used for nothing but fields need no aligned record.
+    They are the template's own text where five or more records of different
+    wording have the same span and none has plain words. Blanks to be filled
+    by hand never count.
     """
     rows = materialize(scan_templates(df), "contexts")
-    spots = rows.where("id IS NOT NULL").select("kind", "a", "b", "id", "spot", "span")
-    wanted = spots.groupBy("kind", "a", "b").agg(F.count("*").alias("marked"))
+    spots = rows.where("id IS NOT NULL").select("kind", "a", "b", "id", "spot", "span", F.col("plain").alias("wording"))
+    # copies of one text, names and numbers masked, count once
+    wanted = spots.groupBy("kind", "a", "b").agg(F.count("*").alias("marked"), F.count_distinct("wording").alias("wordings"), F.count_distinct("span").alias("spans"))
     plain = rows.where("id IS NULL").join(wanted.select("kind", "a", "b"), ["kind", "a", "b"], "left_semi").groupBy("kind", "a", "b").agg(F.sum("plain").alias("plain"))
     judged = wanted.join(plain, ["kind", "a", "b"], "left").withColumn("plain", F.coalesce("plain", F.lit(0)))
-    slot = (F.col("plain") >= least) & (F.col("plain") >= factor * F.col("marked"))
+    slot = (F.col("plain") >= least) & (F.col("plain") >= factor * F.col("wordings"))
+    kept = (F.col("kind") != "n") & (F.col("plain") == 0) & (F.col("wordings") >= 5) & (F.col("spans") == 1)
     best = (
         spots.join(judged, ["kind", "a", "b"])
         .groupBy("id", "spot", "span")
-        .agg(F.max(F.when(slot, 2).when((F.col("plain") == 0) & (F.col("marked") >= 5), 0).otherwise(1)).alias("evidence"))
+        .agg(F.max(F.when(slot, 2).when(kept, 0).otherwise(1)).alias("evidence"))
     )
     strong = F.col("span").rlike(STRONG_JAVA)
     return best.where((F.col("evidence") == 2) & ~F.col("span").rlike("^_{3,}") | ((F.col("evidence") == 1) & strong)).select("id", "spot", "span")

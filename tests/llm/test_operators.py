@@ -269,3 +269,12 @@ def test_residue_by_alignment(spark):
     assert got == {(100, "field"), (101, "field"), (102, "filler"), (103, "error_page")}
     kept = residue.without_residue(df, id_col="id", text_col="text")
     assert kept.count() == len(rows) - 4 and kept.columns == df.columns
+
+
+def test_residue_of_copies_and_of_lines_without_context(spark):
+    rows = [(i, "Fica designada {{ servidor }} como gestora substituta deste ajuste.") for i in range(9)]
+    rows += [(20 + i, f"Texto comum {i} do aviso.\nObjeto: {{{{objeto}}}}") for i in range(9)] + [(40 + i, "{{ementa}}\nOutro texto simples.") for i in range(9)]
+    rows += [(60 + i, f"Nota {'abcdefghi'[i] * 4} segue a frase fixa [[modelo]] do manual oficial.") for i in range(9)] + [(80, "Assinatura: ______")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    got = {r.id for r in residue.flagged(df, id_col="id", text_col="text").where("reason = 'field'").collect()}
+    assert got == {i for i, _ in rows if i < 60}
