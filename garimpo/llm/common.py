@@ -68,7 +68,7 @@ class WordHashes(dict):
         return value
 
 
-def _mix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     x = x * np.uint64(0x9E3779B97F4A7C15) + y
     x ^= x >> np.uint64(30)
     x *= np.uint64(0xBF58476D1CE4E5B9)
@@ -89,7 +89,7 @@ def shingle_sets(texts: list[str], n: int, hashes: WordHashes) -> list[np.ndarra
         return [np.empty(0, np.uint64)] * len(texts)
     runs = flat[: len(flat) - n + 1]
     for k in range(1, n):
-        runs = _mix(runs, flat[k : len(flat) - n + 1 + k])
+        runs = mix(runs, flat[k : len(flat) - n + 1 + k])
     sets, at = [], 0
     for ws in words:
         sets.append(_distinct(runs[at : at + len(ws) - n + 1]) if len(ws) >= n else runs[:0])

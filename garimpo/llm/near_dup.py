@@ -3,32 +3,35 @@
 Plan, for N texts:
 
 1. One Python pass hashes each text's word runs and keeps the k smallest hashes
-   (the sketch), the set size and a digest of the whole set. The result is a
-   table of about k * 8 bytes a text, written once.
+   (the sketch), the set size, a digest of the whole set and the list keys of
+   step 3, written once.
 2. Texts with the same set form a class; only its representative goes on, so a
    group of copies, however large, costs one row.
-3. Inverted lists: each retained value's list length is counted (with map-side
-   partial sums), and each text's values are ordered by it, rarest first, in one
-   order for all texts. A partner that can pass step 5 shares at least `least`
-   of a text's m values (_least_shared), so the first three of them, or all if
-   least is smaller, are among the text's first m - least + 3. These are its
-   prefix: no such pair is lost, whatever else the texts share with others.
-   Values that one text has alone need no list; a text with more than m - least
-   of them has no partner.
-4. Lists of at most `list_limit` texts give pairs. A longer list is not paired:
-   it is split by each further value of the same text (lists of value pairs),
-   and then by a third; what is longer still then is a group of texts that agree
-   in three values and is paired as it is. So are texts too short to share more
-   values than the list stands for.
-5. Pairs that may share three values (or as many as short texts must) are
-   estimated from the sketch of the union (the k smallest values of both); only
-   pairs within a wide margin remain.
+3. Inverted lists. A list of a single retained value is as long as the value is
+   common, so texts are listed under `run` retained values together: the hashes
+   are laid on CIRCLES circles (one hash, multiplied by odd numbers, which only
+   reorders it), and from each of STARTS points of a circle the next `run`
+   values are one key. Two texts are in a common list exactly if the first `run`
+   values of their union from that point are all shared, whose probability is
+   J ** run, whatever else the texts share with others and however rare or
+   common their values are. No list is cut or left out. `run` is as long as
+   `missed` stays below MISS (see there). Texts of up to SHORT runs have keys of
+   three values, and those of up to TINY runs are listed under each of their
+   n - ceil(threshold * n) + 1 smallest values: partners share one of these, so
+   none is lost.
+4. The lists are read in the order of their keys, as a stream, and give pairs.
+   Lists of more than `list_limit` texts are paired apart: split into blocks
+   that go to several tasks, each pair tested on 128 bits of the two texts (one
+   bit of the first value of each key) before it leaves the join.
+5. Pairs overlapping in two lists or more are estimated from the sketch of the
+   union (the k smallest values of both); only pairs within a wide margin remain.
 6. Exact Jaccard similarity on the full sets, read again for the remaining
    texts only.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,17 +40,79 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, chunks, list_array, materialize, pick, shingle_sets
+from .common import WordHashes, chunks, list_array, materialize, mix, pick, shingle_sets
 
 
 # Ids of texts to verify are sent to all tasks up to this number (8 MB); beyond it the texts are shuffled to them.
 BROADCAST_IDS = 1_000_000
-# Values that a pair must have in common, if its texts are not too short for that; a long list is split until it stands for so many.
-SHARED = 3
-
-
-def sketches(df: DataFrame, *, id_col: str, text_col: str, words: int = 5, k: int = 40) -> DataFrame:
-    """(id, n, digest, sketch) of each text with at least one run of `words` words."""
+# List keys of a text: so many circles, and points on each.
+CIRCLES, STARTS = 8, 16
+# A pair must be in so many common lists.
+OVERLAPS = 2
+# A pair exactly at the threshold may be missed with this probability; pairs above it are missed far less often.
+MISS = 5e-4
+# Texts of at most TINY runs have keys of single values, those of at most SHORT runs keys of three.
+TINY, SHORT = 24, 96
+_ODD = [np.uint64((0x9E3779B97F4A7C15 * (2 * c + 1) | 1) & (2**64 - 1)) for c in range(CIRCLES)]
+
+
+def missed(similarity: float, run: int) -> float:
+    """The probability that a pair of this similarity is in fewer than OVERLAPS common lists of keys of `run` values."""
+    p, n = similarity**run, CIRCLES * STARTS
+    return sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(OVERLAPS))
+
+
+def run_length(threshold: float, *, most: int = 5) -> int:
+    """The most values in a key with which no more than MISS of the pairs at the threshold are lost."""
+    return max(r for r in range(1, most + 1) if r == 1 or missed(threshold, r) <= MISS)
+
+
+def _tiers(threshold: float) -> list[tuple[int, float, int]]:
+    """(texts of more runs than this, of at most so many, values in a key, 0 for the smallest values singly); partners of any size have a tier in common."""
+    top = run_length(threshold)
+    return [(0, TINY / threshold, 0), (TINY, SHORT / threshold, min(3, top)), (SHORT, math.inf, top)]
+
+
+def list_keys(sets: list[np.ndarray], threshold: float) -> tuple[list[np.ndarray], np.ndarray]:
+    """The list keys of each set (none may be empty), and two rows of 64 bits for each."""
+    count = len(sets)
+    n = np.array([len(x) for x in sets], np.int64)
+    base = np.cumsum(n) - n
+    flat = np.concatenate(sets)
+    owner = np.arange(count, dtype=np.uint64) << np.uint64(52)
+    marks = owner[:, None] | (np.arange(STARTS, dtype=np.uint64) << np.uint64(48))
+    tiers = [(np.nonzero((n > low) & (n <= high))[0], r) for low, high, r in _tiers(threshold)]
+    found: list[list[np.ndarray]] = [[] for _ in tiers]
+    bits = np.zeros((count, 2), np.uint64)
+    for c, odd in enumerate(_ODD):
+        w = np.sort((flat * odd >> np.uint64(12)) | np.repeat(owner, n))
+        first = np.searchsorted(w, marks) - base[:, None]
+        for t, (texts, r) in enumerate(tiers):
+            if not r:
+                continue
+            key = np.broadcast_to((np.arange(STARTS) + (c * STARTS + 1 + 1000 * r)).astype(np.uint64), (len(texts), STARTS)).copy()
+            for d in range(r):
+                value = w[base[texts, None] + (first[texts] + d) % n[texts, None]] & np.uint64(2**52 - 1)
+                key = mix(key, value)
+            found[t].append(key)
+        lead = w[base[:, None] + first % n[:, None]] >> np.uint64(3)
+        shift = np.arange(STARTS, dtype=np.uint64) + np.uint64(STARTS * c % 64)
+        bits[:, STARTS * c // 64] |= np.bitwise_or.reduce((lead & np.uint64(1)) << shift, axis=1)
+    keys: list[list[np.ndarray]] = [[] for _ in sets]
+    for (texts, r), parts in zip(tiers, found):
+        if not r:
+            for i in texts:
+                least = np.sort(sets[i])[: len(sets[i]) - math.ceil(threshold * len(sets[i]) - 1e-9) + 1]
+                # a value is as many lists as a pair must have in common
+                keys[i] += [mix(least, np.full(len(least), k, np.uint64)) for k in range(OVERLAPS)]
+        elif len(texts):
+            for i, row in zip(texts, np.concatenate(parts, axis=1)):
+                keys[i].append(row)
+    return [np.concatenate(x) for x in keys], bits
+
+
+def sketches(df: DataFrame, *, id_col: str, text_col: str, words: int = 5, threshold: float = 0.8, k: int = 40) -> DataFrame:
+    """(id, n, digest, sketch, bits_a, bits_b, keys) of each text with at least one run of `words` words."""
     src = pick(df, id=id_col, text=text_col).where("id IS NOT NULL AND text IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,17 +120,26 @@ def sketches(df: DataFrame, *, id_col: str, text_col: str, words: int = 5, k: in
         for b in chunks(batches, 2000):
             sets = shingle_sets(b.column(1).to_pylist(), words, hashes)
             keep = [i for i, s in enumerate(sets) if len(s)]
+            if not keep:
+                continue
+            sets = [sets[i] for i in keep]
+            keys, bits = list_keys(sets, threshold)
+            # the bits of a short text come from too few values
+            few = np.array([len(s) <= SHORT for s in sets])
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0).take(pa.array(keep, pa.int64())).cast(pa.int64()),
-                    pa.array([len(sets[i]) for i in keep], pa.int32()),
-                    pa.array([xxhash.xxh3_128_hexdigest(sets[i].tobytes()) for i in keep], pa.string()),
-                    list_array([sets[i][:k] for i in keep]),
+                    pa.array([len(s) for s in sets], pa.int32()),
+                    pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) for s in sets], pa.string()),
+                    list_array([s[:k] for s in sets]),
+                    pa.array(bits[:, 0].view(np.int64), mask=few),
+                    pa.array(bits[:, 1].view(np.int64), mask=few),
+                    list_array(keys),
                 ],
-                names=["id", "n", "digest", "sketch"],
+                names=["id", "n", "digest", "sketch", "bits_a", "bits_b", "keys"],
             )
 
-    return src.withColumn("id", F.col("id").cast("long")).mapInArrow(run, "id long, n int, digest string, sketch array<long>")
+    return src.withColumn("id", F.col("id").cast("long")).mapInArrow(run, "id long, n int, digest string, sketch array<long>, bits_a long, bits_b long, keys array<long>")
 
 
 def _full_sets(src: DataFrame, words: int) -> DataFrame:
@@ -78,47 +152,75 @@ def _full_sets(src: DataFrame, words: int) -> DataFrame:
     return src.mapInArrow(run, "id long, shingles array<long>")
 
 
-def _least_shared(n: str, threshold: float, close: float, k: int) -> str:
-    """SQL: values of its sketch that a text of n runs shares with any partner that passes the estimate.
+def read_lists(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """(key, a, b) of postings (key, id) that come in the order of their keys: all pairs of a list of at most `limit` ids; b is null for each id of a longer list.
 
-    Up to threshold * k runs neither the text nor a partner of a possible size
-    has more than k, so the sketches are the whole sets. Otherwise the union's
-    sketch has at least as many values as the text's, and `close` of them are shared.
+    A list may go on in the next batch: what is held is at most limit postings,
+    and whether the last list has proved long.
     """
-    return f"greatest(1, CAST(IF({n} <= {threshold * k}, ceil({threshold} * {n} - 1e-9), ceil({close} * least({n}, {k}) - 1e-9)) AS INT))"
+    rest_key, rest_id = np.empty(0, np.int64), np.empty(0, np.int64)
+    long_key: int | None = None
+    for last, b in _with_last(batches):
+        key = np.concatenate([rest_key, b.column(0).to_numpy()]) if b is not None else rest_key
+        ids = np.concatenate([rest_id, b.column(1).to_numpy()]) if b is not None else rest_id
+        if not len(key):
+            continue
+        begin = np.nonzero(np.concatenate(([True], key[1:] != key[:-1])))[0]
+        size = np.diff(np.append(begin, len(key)))
+        end = len(key)
+        long = size > limit
+        if long_key is not None:
+            long |= key[begin] == long_key
+        if not last and not long[-1]:
+            # the last list is complete only when the next one begins
+            end = begin[-1]
+            begin, size, long = begin[:-1], size[:-1], long[:-1]
+        long_key = int(key[end - 1]) if end and len(long) and long[-1] else None
+        rest_key, rest_id = key[end:], ids[end:]
+        whole = np.repeat(long, size)
+        key, ids = key[:end], ids[:end]
+        out = [(key[whole], ids[whole], None)]
+        place = np.repeat(np.cumsum(size) - size, size)
+        short = ~whole
+        for d in range(1, int(size[~long].max(initial=1))):
+            at = np.nonzero((place[d:] == place[:-d]) & short[d:] & (ids[d:] != ids[:-d]))[0]
+            x, y = ids[at], ids[at + d]
+            out.append((key[at], np.minimum(x, y), np.maximum(x, y)))
+        paired = [o for o in out[1:]]
+        both = [np.concatenate([o[i] for o in paired]) if paired else np.empty(0, np.int64) for i in range(3)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([out[0][0], both[0]])),
+                pa.array(np.concatenate([out[0][1], both[1]])),
+                pa.array(np.concatenate([np.zeros(len(out[0][0]), np.int64), both[2]]), mask=np.concatenate([np.ones(len(out[0][0]), bool), np.zeros(len(both[0]), bool)])),
+            ],
+            names=["key", "a", "b"],
+        )
 
 
-def _pairs_of_lists(prefixes: DataFrame, list_limit: int) -> DataFrame:
-    """Pairs (a, b, w) of texts in a common inverted list, a < b, that may share `need` values; w is how many the list stands for.
+def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch | None]]:
+    for b in batches:
+        yield False, b
+    yield True, None
 
-    prefixes: id, n, need, far, values (rarest first); far counts the values
-    whose lists may be long. Lists longer than list_limit are split by further
-    values of their texts, up to SHARED values.
-    """
-    found = None
-    keyed = prefixes.select("id", "n", "need", "far", F.posexplode("values").alias("at", "value")).withColumn("key", F.xxhash64(F.lit(0), "value")).drop("value")
-    for level in range(1, SHARED + 1):
-        keyed = materialize(keyed, "lists")
-        long = keyed.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > list_limit).select("key")
-        last = level == SHARED or not long.head(1)
-        # a pair of texts that need share no more values than this is in no list of the next level
-        short = keyed if last else keyed.join(long, "key", "left_anti").unionByName(keyed.where(F.col("need") <= level).join(long, "key", "left_semi"))
-        a = short.select("key", *[F.col(c).alias(x) for c, x in (("id", "a"), ("n", "na"), ("need", "da"), ("far", "fa"))])
-        b = short.select("key", *[F.col(c).alias(x) for c, x in (("id", "b"), ("n", "nb"), ("need", "db"), ("far", "fb"))])
-        # values shared in split lists are not all counted, so as many as may be are left out of what is asked
-        asked = F.greatest("da", "db") - F.least("fa", "fb")
-        pairs = a.join(b, "key").where("a < b").select("a", "b", "na", "nb", asked.alias("asked"), F.lit(level).alias("w"))
-        found = pairs if found is None else found.unionByName(pairs)
-        if last:
-            break
-        rest = F.expr("filter(transform(values, (v, i) -> struct(i AS i, v AS v)), x -> x.i > at)")
-        keyed = (
-            keyed.join(long, "key", "left_semi")
-            .join(prefixes.select("id", "values"), "id")
-            .select("id", "n", "need", "far", "key", F.explode(rest).alias("next"))
-            .select("id", "n", "need", "far", F.col("next.i").alias("at"), F.xxhash64("key", "next.v").alias("key"))
-        )
-    return found
+
+def _overlapping(reps: DataFrame, threshold: float, list_limit: int, block: int = 1024) -> DataFrame:
+    """(a, b), a < b, of texts in at least OVERLAPS common lists. reps: id, keys, bits_a, bits_b."""
+    postings = reps.select(F.explode("keys").alias("key"), "id").repartition("key").sortWithinPartitions("key")
+    read = materialize(postings.mapInArrow(lambda batches: read_lists(batches, list_limit), "key long, a long, b long"), "lists")
+    pairs = read.where("b IS NOT NULL").select("a", "b")
+    long = read.where("b IS NULL").select("key", F.col("a").alias("id"))
+    if long.head(1):
+        # bits of a pair differ with probability (1 - J) / 2 each; four standard deviations are allowed
+        p, n = (1 - threshold) / 2, CIRCLES * STARTS
+        differ = p * n + 4 * (p * (1 - p) * n) ** 0.5
+        blocks = long.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+        listed = materialize(long.join(reps.select("id", "bits_a", "bits_b"), "id").join(blocks, "key"), "long")
+        x = listed.select("key", F.pmod(F.xxhash64("id"), "blocks").alias("block"), *[F.col(c).alias(f"x_{c}") for c in ("id", "bits_a", "bits_b")])
+        y = listed.select("key", F.explode(F.expr("sequence(0L, blocks - 1L)")).alias("block"), *[F.col(c).alias(f"y_{c}") for c in ("id", "bits_a", "bits_b")])
+        alike = F.bit_count(F.col("x_bits_a").bitwiseXOR(F.col("y_bits_a"))) + F.bit_count(F.col("x_bits_b").bitwiseXOR(F.col("y_bits_b"))) <= differ
+        pairs = pairs.unionByName(x.join(y, ["key", "block"]).where((F.col("x_id") < F.col("y_id")) & F.coalesce(alike, F.lit(True))).select(F.col("x_id").alias("a"), F.col("y_id").alias("b")))
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("overlaps")).where(F.col("overlaps") >= OVERLAPS).select("a", "b")
 
 
 def near_duplicate_pairs(
@@ -141,46 +243,21 @@ def near_duplicate_pairs(
     Null ids and texts, and texts of fewer than `words` words, are in neither.
     A row repeated whole counts once. Ids must be integers.
     """
-    table = materialize(sketches(df, id_col=id_col, text_col=text_col, words=words, k=k), "sketches")
+    low = float(threshold)
+    table = materialize(sketches(df, id_col=id_col, text_col=text_col, words=words, threshold=low, k=k), "sketches")
     classes = table.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("size"))
     several = classes.where("size > 1").select("digest", "rep")
     grouped = materialize(table.select("id", "digest").join(several, "digest").select("id", "rep").distinct(), "copies")
     spare = grouped.where("id <> rep").select("id")
     reps = table.join(spare, "id", "left_anti") if spare.head(1) else table
 
-    low = float(threshold)
+    shared = _overlapping(reps, low, list_limit)
     margin = 3.5 * (low * (1 - low) / k) ** 0.5 + 0.02
-    # a list's length and the upper 44 bits of its value in one number that sorts by length; two values that agree in these bits merge their lists, which costs candidates only
-    postings = reps.select("id", F.explode("sketch").alias("value"))
-    lengths = postings.groupBy("value").agg(F.least(F.count("*"), F.lit(2**19 - 1)).alias("df"))
-    rank = F.shiftleft("df", 44).bitwiseOR(F.shiftrightunsigned("value", 20))
-    prefixes = (
-        postings.join(lengths, "value")
-        .groupBy("id")
-        .agg(F.collect_list(rank).alias("ranks"))
-        .join(reps.select("id", "n"), "id")
-        .select("id", "n", F.array_sort("ranks").alias("ranks"), F.expr("size(filter(ranks, x -> shiftright(x, 44) = 1))").alias("alone"), F.expr(_least_shared("n", low, low - margin, k)).alias("least"))
-        .withColumn("need", F.least("least", F.lit(SHARED)))
-        # a text with more values of its own than this has no partner: it would share too few
-        .where("alone <= size(ranks) - least")
-        .withColumn("ranks", F.expr("slice(ranks, alone + 1, size(ranks) - least + need - alone)"))
-        .select("id", "n", "need", F.expr(f"size(filter(ranks, x -> shiftright(x, 44) > {list_limit}))").alias("far"), F.expr(f"transform(ranks, x -> x & {2**44 - 1})").alias("values"))
-        .where("size(values) > 0")
-    )
-    prefixes = materialize(prefixes, "prefixes")
-    shared = (
-        _pairs_of_lists(prefixes, list_limit)
-        .where(F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(low) - 1e-9)
-        .groupBy("a", "b")
-        .agg(F.sum("w").alias("shared"), F.max("asked").alias("asked"))
-        .where("shared >= asked")
-        .select("a", "b")
-    )
-
-    sk = reps.select("id", "sketch")
+    sk = reps.select("id", "n", "sketch")
     close = (
-        shared.join(sk.select(F.col("id").alias("a"), F.col("sketch").alias("ska")), "a")
-        .join(sk.select(F.col("id").alias("b"), F.col("sketch").alias("skb")), "b")
+        shared.join(sk.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ska")), "a")
+        .join(sk.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("skb")), "b")
+        .where(F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(low) - 1e-9)
         .withColumn("both", F.expr(f"slice(array_sort(array_union(ska, skb)), 1, {k})"))
         .where(F.expr(f"size(array_intersect(both, array_intersect(ska, skb))) >= {low - margin} * size(both)"))
         .select("a", "b")
