@@ -6,7 +6,7 @@ may hold blanks, which Spark's own URL parser rejects.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _RFC = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
@@ -186,3 +186,13 @@ def is_safe_literal(url: Column) -> Column:
 def ensure_safe(url: Column) -> Column:
     """The url itself; a query fails at a row whose url isn't safe."""
     return F.when(is_safe_literal(url), url).otherwise(F.raise_error(F.concat(F.lit("unsafe url: "), F.coalesce(url, F.lit("null")))))
+
+
+def once(df: DataFrame, beside: list[str], **columns: Column) -> DataFrame:
+    """The columns `beside` and new ones, each computed once a row.
+
+    Filters and projections above are not merged into the expressions, as they
+    would be with a plain select: urls are taken apart by nested patterns, and
+    every use would repeat them.
+    """
+    return df.select(*beside, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))

@@ -16,31 +16,55 @@ def _by(group: list[str]) -> list[Column]:
     return [F.col(f"`{g}`") for g in group]
 
 
-def running(df: DataFrame, seq: str, values: dict[str, Column], *, group: list[str] | None = None, chunks: int = 64) -> DataFrame:
-    """Adds sums of `values` over all rows before each row, in the order of seq.
+# Rows of a range of the order that one task may add up.
+RANGE_ROWS = 200_000
 
-    Rows are split into ranges of seq; each range is summed on its own, sums of
-    ranges are accumulated (at most `chunks` rows per group), and added. So the
-    pass is distributed even for a single group or one that holds most rows.
-    seq must be numeric and unique within the group.
+
+def _range_of(df: DataFrame, seq: str, rows: int, least: int = 1) -> Column:
+    """The number of a row's range: ranges hold about `rows` rows each, however seq is spread; there are `least` at least.
+
+    Bounds are quantiles of seq, looked up by binary search in an array literal.
+    """
+    n = max(least, -(-df.select(seq).count() // rows))
+    if n <= 1:
+        return F.lit(0)
+    at = F.array(*[F.lit(k / n) for k in range(1, n)])
+    bounds = sorted(set(df.agg(F.percentile_approx(seq, at, 50 * n).alias("b")).first().b or []))
+    steps = max(1, len(bounds).bit_length())
+    table = F.array(*map(F.lit, bounds))
+    # bounds below seq are counted: by the highest bit first, a step that leads beyond the array is not taken
+    widths = F.array(*[F.lit(1 << (steps - 1 - k)) for k in range(steps)])
+    return F.aggregate(widths, F.lit(0), lambda i, w: F.when(F.coalesce(F.get(table, i + w - F.lit(1)) < F.col(seq), F.lit(False)), i + w).otherwise(i))
+
+
+def running(df: DataFrame, seq: str, values: dict[str, Column], *, group: list[str] | None = None, most: bool = False, rows: int = RANGE_ROWS, chunks: int = 1) -> DataFrame:
+    """Adds sums of `values` over all rows before each row, in the order of seq; with `most` their maxima, null where there is none.
+
+    Rows are split into ranges of seq of about equal size, more of them the more
+    rows there are; each range is summed on its own, sums of ranges are
+    accumulated (one row for each range and group), and added. So the pass is
+    distributed even for a single group, one that holds most rows, or an order
+    with far-off values; `chunks` asks for that many ranges at least. seq must be
+    numeric, not null and unique within the group.
     """
     group = group or []
-    marked = df.withColumns({f"__v_{k}": v for k, v in values.items()})
-    bounds = marked.agg(F.min(seq).alias("lo"), F.max(seq).alias("hi")).first()
-    lo, hi = bounds.lo or 0, bounds.hi or 0
-    width = max(1, -(-(hi - lo + 1) // chunks))
-    chunked = marked.withColumn("__chunk", F.floor((F.col(seq) - F.lit(lo)) / F.lit(width)).cast("int"))
-    sums = chunked.groupBy(*_by(group), "__chunk").agg(*[F.sum(f"__v_{k}").alias(f"__s_{k}") for k in values])
+    of = F.max if most else F.sum
+    none = F.lit(None) if most else F.lit(0)
+    chunked = df.withColumns({f"__v_{k}": v for k, v in values.items()}).withColumn("__chunk", _range_of(df, seq, rows, chunks))
+    sums = chunked.groupBy(*_by(group), "__chunk").agg(*[of(f"__v_{k}").alias(f"__s_{k}") for k in values])
     before = Window.partitionBy(*_by(group)).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*_by(group), "__chunk", *[F.coalesce(F.sum(f"__s_{k}").over(before), F.lit(0)).alias(f"__o_{k}") for k in values])
+    offsets = sums.select(*_by(group), "__chunk", *[F.coalesce(of(f"__s_{k}").over(before), none).alias(f"__o_{k}") for k in values])
     inner = Window.partitionBy(*_by(group), "__chunk").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
-    local = chunked.withColumns({f"__l_{k}": F.coalesce(F.sum(f"__v_{k}").over(inner), F.lit(0)) for k in values})
+    local = chunked.withColumns({f"__l_{k}": F.coalesce(of(f"__v_{k}").over(inner), none) for k in values})
     joined = local.alias("l").join(offsets.alias("o"), [F.col(f"l.`{g}`").eqNullSafe(F.col(f"o.`{g}`")) for g in group] + [F.col("l.__chunk") == F.col("o.__chunk")])
-    return joined.select(*[F.col(f"l.`{c}`") for c in df.columns], *[(F.col(f"l.__l_{k}") + F.col(f"o.__o_{k}")).alias(k) for k in values])
+    both = (lambda x, y: F.greatest(x, y)) if most else (lambda x, y: x + y)
+    return joined.select(*[F.col(f"l.`{c}`") for c in df.columns], *[both(F.col(f"l.__l_{k}"), F.col(f"o.__o_{k}")).alias(k) for k in values])
 
 
-def cap(df: DataFrame, n: int, seq: str, group: list[str] | None = None) -> DataFrame:
-    """The first n rows in order, of each group if given. Without groups Spark takes the ordered top n."""
+def cap(df: DataFrame, n: int | None, seq: str, group: list[str] | None = None) -> DataFrame:
+    """The first n rows in order, of each group if given; all rows if n is None. Without groups Spark takes the ordered top n."""
+    if n is None:
+        return df
     if not group:
         return df.orderBy(seq).limit(n)
     # rank limits are pushed below the shuffle, so a group's task receives at most n rows from each other task
@@ -62,27 +86,27 @@ def cap_by_page(df: DataFrame, n: int, page: str, group: list[str]) -> DataFrame
     return df.join(taken, cond, "left_semi")
 
 
-def success_budget(df: DataFrame, n: int, ok: Column, seq: str, group: list[str] | None = None) -> DataFrame:
+def success_budget(df: DataFrame, n: int, ok: Column, seq: str, group: list[str] | None = None, rows: int = RANGE_ROWS) -> DataFrame:
     """Rows tried while fewer than n successes came before; failures are free. `ok` null counts as a failure."""
-    done = running(df, seq, {"successes_before": F.coalesce(ok, F.lit(False)).cast("long")}, group=group)
+    done = running(df, seq, {"successes_before": F.coalesce(ok, F.lit(False)).cast("long")}, group=group, rows=rows)
     return done.where(F.col("successes_before") < n)
 
 
-def stop_after_streak(df: DataFrame, k: int, failed: Column, seq: str, group: list[str]) -> DataFrame:
+def stop_after_streak(df: DataFrame, k: int, failed: Column, seq: str, group: list[str], rows: int = RANGE_ROWS) -> DataFrame:
     """Rows up to and with the k-th failure in a row; a success ends a streak. Null counts as no failure.
 
-    streak is the number of failures in a row that end at a row. Islands are
-    numbered by successes before them; each island is counted on its own.
+    streak is the number of failures in a row that end at a row: the failures
+    up to it less those before the last success. Both come from `running`, so a
+    group of any size is split among tasks.
     """
-    bad = F.coalesce(failed, F.lit(False))
-    w = Window.partitionBy(*_by(group)).orderBy(seq)
-    islands = df.withColumn("__bad", bad).withColumn("__island", F.sum((~F.col("__bad")).cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = Window.partitionBy(*_by(group), "__island").orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
-    streaks = islands.withColumn("streak", F.sum(F.col("__bad").cast("long")).over(inside))
+    marked = df.withColumn("__bad", F.coalesce(failed, F.lit(False)))
+    counted = running(marked, seq, {"__before": F.col("__bad").cast("long")}, group=group, rows=rows)
+    based = running(counted, seq, {"__base": F.when(~F.col("__bad"), F.col("__before"))}, group=group, most=True, rows=rows)
+    streaks = based.withColumn("streak", F.when(F.col("__bad"), F.col("__before") + 1 - F.coalesce("__base", F.lit(0))).otherwise(F.lit(0)).cast("long"))
     end = streaks.where(F.col("streak") >= k).groupBy(*[F.col(f"`{g}`").alias(f"__g{i}") for i, g in enumerate(group)]).agg(F.min(f"`{seq}`").alias("__stop"))
     cond = [F.col(f"`{g}`").eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
-    kept = streaks.join(end, cond, "left").where(F.col("__stop").isNull() | (F.col(f"`{seq}`") <= F.col("__stop")))
-    return kept.select(*[F.col(f"`{c}`") for c in [*df.columns, "streak"]])
+    kept = streaks.join(end, cond, "left") if group else streaks.crossJoin(end)
+    return kept.where(F.col("__stop").isNull() | (F.col(f"`{seq}`") <= F.col("__stop"))).select(*[F.col(f"`{c}`") for c in [*df.columns, "streak"]])
 
 
 def stop_at_stale_pages(df: DataFrame, k: int, page: str, key: str, group: list[str]) -> DataFrame:

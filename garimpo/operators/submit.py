@@ -12,6 +12,8 @@ from . import caps
 
 BATCH_SIZE = 30
 MAX_ATTEMPTS = 4
+# A run submits what its budgets let through; more rows than this are no run's results.
+MOST_ROWS = 100_000
 
 
 def submittable(result: Column, error: Column) -> Column:
@@ -64,11 +66,17 @@ def post_batch(rows: list[dict], send: Callable[[list[dict]], tuple[int, Any]],
     return {"ok": False, "status": status, "response": response, "attempts": attempt}
 
 
-def submit(df: DataFrame, send: Callable[[list[dict]], tuple[int, Any]], *, seq: str, sleep: Callable[[float], None], size: int = BATCH_SIZE) -> dict:
+def submit(df: DataFrame, send: Callable[[list[dict]], tuple[int, Any]], *, seq: str, sleep: Callable[[float], None], size: int = BATCH_SIZE, source: str | None = None, most: int = MOST_ROWS) -> dict:
     """Sends the batches in order and stops at the first failure: submitted, batches, failed_batches, errors, last_result.
 
-    Rows stream to the driver one partition at a time, as an ordered sink needs.
+    Each batch waits for the one before, so the sink is sequential by its nature
+    and bounded: more than `most` rows are an error. Rows stream to the driver one
+    partition at a time. With source, each row names it.
     """
+    if source is not None:
+        df = df.withColumn("source", F.lit(source))
+    if (rows := df.count()) > most:
+        raise ValueError(f"{rows} rows are more than a run submits")
     ordered = batches(df, seq=seq, size=size).orderBy(seq)
     out = {"submitted": 0, "batches": 0, "failed_batches": 0, "errors": [], "last_result": None}
     batch: list[dict] = []
@@ -94,8 +102,16 @@ def submit(df: DataFrame, send: Callable[[list[dict]], tuple[int, Any]], *, seq:
     return out
 
 
-def upsert(state: DataFrame, changes: DataFrame, keys: list[str], *, compare: list[str]) -> DataFrame:
-    """The state after idempotent changes, with outcome: inserted, updated, duplicate or kept.
+def may_advance(result: dict) -> bool:
+    """Whether a checkpoint may advance after a submission: something was submitted and no batch failed."""
+    return result["failed_batches"] == 0 and result["submitted"] > 0
+
+
+def upsert(state: DataFrame, changes: DataFrame, keys: list[str], *, compare: list[str], active: str | None = None) -> DataFrame:
+    """The state after idempotent changes, with outcome: inserted, updated, reactivated, duplicate or kept.
+
+    With active, the name of a boolean column, a change to a row that is not
+    active reactivates it, whether or not anything else differs.
 
     changes hold each key once. A change equal to the state in the compared
     columns is a duplicate and changes nothing.
@@ -106,5 +122,5 @@ def upsert(state: DataFrame, changes: DataFrame, keys: list[str], *, compare: li
     equal = F.lit(True)
     for k in compare:
         equal = equal & F.col(f"s.`{k}`").eqNullSafe(F.col(f"c.`{k}`"))
-    outcome = F.when(~flag_c, "kept").when(~flag_s, "inserted").when(equal, "duplicate").otherwise("updated")
+    outcome = F.when(~flag_c, "kept").when(~flag_s, "inserted").when(~F.coalesce(F.col(f"s.`{active}`"), F.lit(True)) & F.coalesce(F.col(f"c.`{active}`"), F.lit(True)) if active else F.lit(False), "reactivated").when(equal, "duplicate").otherwise("updated")
     return joined.select(*[F.when(flag_c, F.col(f"c.`{n}`")).otherwise(F.col(f"s.`{n}`")).alias(n) for n in state.columns], outcome.alias("outcome"))

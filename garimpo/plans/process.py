@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BYTES = 15_000_000
+# Results leave a task in batches of about so many bytes of text.
+BATCH_BYTES = 32_000_000
+MAX_ROWS = 256
 
 
 def is_pdf(content: Column, max_bytes: int = MAX_BYTES) -> Column:
@@ -61,11 +64,23 @@ def process(downloads: DataFrame, extractor: Callable[[], Callable[[bytes], str]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extract = extractor()
+        rows: list[tuple] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), result, pa.string()))], names=["url", "worker_result", "error"])
+            rows.clear()
+            return batch
+
         for b in batches:
-            for k in range(b.num_rows):
-                row = b.slice(k, 1).to_pylist()[0]
-                done, error = one(extract, row["content"], row["error"])
-                yield pa.RecordBatch.from_arrays([pa.array([row["url"]], pa.string()), pa.array([done], result), pa.array([error], pa.string())], names=["url", "worker_result", "error"])
+            for url, content, failed in zip(*(b.column(k) for k in range(3))):
+                done, error = one(extract, content.as_py(), failed.as_py())
+                rows.append((url.as_py(), done, error))
+                size += len(done["ocr_markdown"]) if done else 0
+                if size >= BATCH_BYTES or len(rows) >= MAX_ROWS:
+                    yield out()
+                    size = 0
+        yield out()
 
     schema = "url string, worker_result struct<ocr_markdown: string, content_hash: string, content_length: long, validated_at: string, validation_outcome: string>, error string"
     return downloads.select("url", "content", "error").mapInArrow(run, schema)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
-from ..operators import dedup, joins
+from ..operators import caps, dedup, joins
 
 # Names of the candidate's metadata fields and where they come from.
 RECORD_FIELDS = {
@@ -41,9 +41,9 @@ def can_look_up(control: Column, sequence: Column, year: Column) -> Column:
 
 
 def scans(scopes: DataFrame) -> DataFrame:
-    """(scan_no, scope, endpoint, modality) of a run: one proposal scan and, by modality, publication and update scans for each scope (scope_no, scope)."""
+    """(scan_no, scope, endpoint, modality) of a run: for each scope (scope_no, scope) one proposal scan, then for each modality a publication and an update scan."""
     spark = scopes.sparkSession
-    kinds = [(0, "proposal", None)] + [(1 + i * len(MODALITIES) + k, e, m) for i, e in enumerate(ENDPOINTS[1:]) for k, m in enumerate(MODALITIES)]
+    kinds = [(0, "proposal", None)] + [(1 + 2 * k + i, e, m) for k, m in enumerate(MODALITIES) for i, e in enumerate(ENDPOINTS[1:])]
     table = spark.createDataFrame(kinds, "kind_no int, endpoint string, modality int")
     return joins.parameter_product(scopes, table).select((F.col("scope_no") * len(kinds) + F.col("kind_no")).alias("scan_no"), "scope", "endpoint", "modality")
 
@@ -77,15 +77,26 @@ def latest_records(records: DataFrame) -> DataFrame:
     return dedup.keep_latest(records, "numero_controle_pncp", ["data_atualizacao_global", "data_atualizacao"], "seq")
 
 
-def candidates(records: DataFrame, documents: DataFrame, *, now: Column, least_year: int, modalities: list[int] | None = None) -> DataFrame:
-    """(record_seq, place, url, kind, metadata): latest records of the modalities that are open, joined with their selected documents; a url counts once."""
+def candidates(records: DataFrame, documents: DataFrame, *, now: Column, least_year: int, modalities: list[int] | None = None, lookups: int | None = None, failed: DataFrame | None = None, failures: int = 10, most: int | None = None) -> DataFrame:
+    """(record_seq, place, url, kind, metadata): latest records of the modalities that are open, joined with their selected documents; a url counts once.
+
+    lookups caps the records whose documents are looked up, in order of
+    discovery; records that can't be looked up don't use it up. failed holds the
+    control numbers whose lookup failed: after `failures` of them in a row the
+    run looks up no more. most caps the candidates.
+    """
     wanted = records.where(F.col("modalidade_id").isin(modalities or MODALITIES))
     open_ = latest_records(wanted).where(
         in_window(now, year=F.col("ano_compra"), status=F.col("situacao_compra_id"), opening=F.col("data_abertura_proposta"), deadline=F.col("data_encerramento_proposta"), least_year=least_year)
         & can_look_up(F.col("numero_controle_pncp"), F.col("sequencial_compra"), F.col("ano_compra"))
     )
+    open_ = caps.cap(open_, lookups, "first_seq")
+    if failed is not None:
+        bad = failed.select(F.col("numero_controle_pncp").alias("__control")).distinct().withColumn("__failed", F.lit(True))
+        tried = open_.join(bad, F.col("numero_controle_pncp") == F.col("__control"), "left")
+        open_ = caps.stop_after_streak(tried, failures, F.coalesce("__failed", F.lit(False)), "first_seq", []).where("__failed IS NULL").drop("__control", "__failed", "streak")
     docs = documents.withColumn("doc_order", F.struct("seen_at", "sequencial_documento"))
     chosen = select_documents(docs, key="numero_controle_pncp", seq="doc_order").drop("priority", "doc_order")
     both = joins.dependent(open_, chosen, {"numero_controle_pncp": "numero_controle_pncp"}).where(F.trim(F.coalesce("url", F.lit(""))) != "")
     rows = both.select(F.col("first_seq").alias("record_seq"), "place", F.trim("url").alias("url"), F.lit("pdf").alias("kind"), metadata().alias("metadata"), F.struct("first_seq", "place").alias("order"))
-    return dedup.keep_first(rows, ["url"], "order").drop("order")
+    return caps.cap(dedup.keep_first(rows, ["url"], "order"), most, "order").drop("order")

@@ -12,6 +12,7 @@ from .functions import dates, markdown, status, text, urls
 from .functions.html import anchors
 from .operators import caps, dedup, joins, stats, submit
 from .plans import backlog, discovery, records
+from .session import materialize, work_dir
 from .sources import landing
 from .sources.specs import LinkRule, SourceSpec, names
 
@@ -177,11 +178,21 @@ def open_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.where(keep & records.can_look_up(F.col("numero_controle_pncp"), F.col("sequencial_compra"), F.col("ano_compra"))).select("seq")
 
 
-@query("select '20260315' as today, '20260213' as publication_start, '20260514' as proposal_end, '20260309' as update_start, count(*) as in_window from candidates where metadata.extracted_year = 2026")
+_DAY = f"strftime({sql_datetime('data_publicacao_pncp')} - interval 3 hour, '%Y%m%d')"
+_UPDATED = f"strftime({sql_datetime('data_atualizacao_global')} - interval 3 hour, '%Y%m%d')"
+_BOUND = "strftime(timestamp '{0}' - interval 3 hour {1} interval {2} day, '%Y%m%d')"
+
+
+@query(
+    f"""select seq, coalesce({_DAY} between {_BOUND.format(NOW, '-', 30)} and {_BOUND.format(NOW, '-', 0)}, false) as published, coalesce({_UPDATED} between {_BOUND.format('2026-03-10 05:00:00', '-', 1)} and {_BOUND.format(NOW, '-', 0)}, false) as updated,
+    {_BOUND.format(NOW, '+', 60)} as proposal_end from procurement_records"""
+)
 def window_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Day bounds of an incremental run."""
+    """Records in the windows of an incremental run that follows one of 2026-03-10."""
     b = dates.window_boundaries(datetime(2026, 3, 15, 12, tzinfo=timezone.utc), datetime(2026, 3, 10, 5, tzinfo=timezone.utc))
-    return _t(spark, sf_dir, "candidates").where("metadata.extracted_year = 2026").agg(F.count("*").alias("in_window")).select(*[F.lit(v).alias(k) for k, v in b.items()], "in_window")
+    day = lambda c: F.date_format(dates.parse_datetime(F.col(c)) - F.expr("INTERVAL 3 HOURS"), "yyyyMMdd")
+    between = lambda c, low: F.coalesce(day(c).between(b[low], b["today"]), F.lit(False))
+    return _t(spark, sf_dir, "procurement_records").select("seq", between("data_publicacao_pncp", "publication_start").alias("published"), between("data_atualizacao_global", "update_start").alias("updated"), F.lit(b["proposal_end"]).alias("proposal_end"))
 
 
 @query("select download_id, hour(fetched_at at time zone 'UTC' at time zone 'America/Los_Angeles') between 8 and 18 as daytime from downloads where fetched_at is not null")
@@ -248,26 +259,52 @@ def select_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- joins
 
+_METADATA = ", ".join(
+    [f'{"trim(ano_compra)" if c == "ano_compra" else c} as "{n}"' for n, c in records.RECORD_FIELDS.items()]
+    + [f"coalesce({c}, '') as \"{n}\"" for n, c in records.BLANK_FIELDS.items()]
+    + [f'{c} as "{n}"' for n, c in records.NESTED_FIELDS.items()]
+    + ['sequencial_documento as "sequencialDocumento"', 'tipo_documento_nome as "tipoDocumentoNome"', "coalesce(titulo, '') as titulo", "priority"]
+)
+
 
 @query(
     f"""with {_SELECTED}, m as (select * from procurement_records where modalidade_id in (4, 6, 8) and trim(coalesce(numero_controle_pncp, '')) <> ''),
     latest as (select * from (select *, row_number() over (partition by numero_controle_pncp order by coalesce(data_atualizacao_global, '') desc, coalesce(data_atualizacao, '') desc, seq) as n, min(seq) over (partition by numero_controle_pncp) as first_seq from m) where n = 1),
     openr as (select * from latest where {_OPEN} and sequencial_compra is not null and ano_compra is not null),
-    j as (select o.first_seq as record_seq, c.place, trim(c.url) as url, o.*, c.sequencial_documento, c.priority from openr o join chosen c using (numero_controle_pncp) where trim(coalesce(c.url, '')) <> ''),
+    j as (select o.first_seq as record_seq, c.place, trim(c.url) as url, o.*, c.sequencial_documento, c.tipo_documento_nome, c.titulo, c.priority from openr o join chosen c using (numero_controle_pncp) where trim(coalesce(c.url, '')) <> ''),
     r as (select *, row_number() over (partition by url order by record_seq, place) as k from j)
-    select record_seq, place, url, 'pdf' as kind, numero_controle_pncp as control, priority, orgao_entidade.cnpj as cnpj, coalesce(objeto_compra, '') as object from r where k = 1"""
+    select record_seq, place, url, 'pdf' as kind, {_METADATA} from r where k = 1"""
 )
 def record_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open records joined with their documents, as candidates."""
     r = _t(spark, sf_dir, "procurement_records").withColumn("ano_compra", F.trim("ano_compra"))
     c = records.candidates(r, _t(spark, sf_dir, "document_descriptors"), now=_now(), least_year=LEAST_YEAR)
-    m = "metadata."
-    return c.select("record_seq", "place", "url", "kind", F.col(m + "numeroControlePNCP").alias("control"), F.col(m + "priority").alias("priority"), F.col(m + "cnpj").alias("cnpj"), F.col(m + "objetoCompra").alias("object"))
+    return c.select("record_seq", "place", "url", "kind", "metadata.*")
+
+
+@query(
+    f"""with {_SELECTED}, m as (select * from procurement_records where modalidade_id in (4, 6, 8) and trim(coalesce(numero_controle_pncp, '')) <> ''),
+    latest as (select * from (select *, row_number() over (partition by numero_controle_pncp order by coalesce(data_atualizacao_global, '') desc, coalesce(data_atualizacao, '') desc, seq) as n, min(seq) over (partition by numero_controle_pncp) as first_seq from m) where n = 1),
+    openr as (select * from latest where {_OPEN} and sequencial_compra is not null and ano_compra is not null order by first_seq limit 100),
+    lost as (select distinct numero_controle_pncp from document_descriptors where url is null and numero_controle_pncp is not null),
+    t as (select o.*, l.numero_controle_pncp is not null as bad from openr o left join lost l using (numero_controle_pncp)), i as (select *, sum((not bad)::int) over (order by first_seq) as island from t),
+    k as (select *, sum(bad::int) over (partition by island order by first_seq) as streak from i), e as (select min(first_seq) as stop from k where streak >= 3),
+    used as (select k.* from k, e where not bad and (stop is null or first_seq <= stop)),
+    j as (select o.first_seq as record_seq, c.place, trim(c.url) as url from used o join chosen c using (numero_controle_pncp) where trim(coalesce(c.url, '')) <> ''),
+    r as (select *, row_number() over (partition by url order by record_seq, place) as k from j)
+    select record_seq, place, url from r where k = 1 order by record_seq, place limit 50"""
+)
+def document_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most 100 records looked up, none after three failed lookups in a row (here: records with a null url), at most 50 candidates."""
+    r = _t(spark, sf_dir, "procurement_records").withColumn("ano_compra", F.trim("ano_compra"))
+    d = _t(spark, sf_dir, "document_descriptors")
+    c = records.candidates(r, d, now=_now(), least_year=LEAST_YEAR, lookups=100, failed=d.where("url IS NULL"), failures=3, most=50)
+    return c.select("record_seq", "place", "url")
 
 
 @query(
     """with scopes as (select 0 as scope_no, 'all' as scope union all select row_number() over (order by host), host from source_catalog),
-    kinds as (select * from (values (0, 'proposal', cast(null as integer)), (1, 'publication', 6), (2, 'publication', 8), (3, 'publication', 4), (4, 'update', 6), (5, 'update', 8), (6, 'update', 4)) v(kind_no, endpoint, modality))
+    kinds as (select * from (values (0, 'proposal', cast(null as integer)), (1, 'publication', 6), (2, 'update', 6), (3, 'publication', 8), (4, 'update', 8), (5, 'publication', 4), (6, 'update', 4)) v(kind_no, endpoint, modality))
     select cast(scope_no * 7 + kind_no as bigint) as scan_no, scope, endpoint, modality from scopes, kinds"""
 )
 def scan_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,11 +436,11 @@ def idempotent_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return submit.upsert(s, c, ["control", "seq"], compare=["url"])
 
 
-@query("select doc_id, sha256(text) as hash, length(text[1:2000]) as kept from documents where text is not null")
+@query("select doc_id, sha256(text) as hash, length(text[1:1000000]) as kept from documents where text is not null")
 def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SHA-256 of texts, and truncation."""
     d = _t(spark, sf_dir, "documents").where("text IS NOT NULL")
-    return d.select("doc_id", text.content_hash(F.col("text")).alias("hash"), F.length(text.truncate_markdown(F.col("text"), 2000)).cast("bigint").alias("kept"))
+    return d.select("doc_id", text.content_hash(F.col("text")).alias("hash"), F.length(text.truncate_markdown(F.col("text"))).cast("bigint").alias("kept"))
 
 
 # ---------------------------------------------------------------- backlog
@@ -439,10 +476,10 @@ def json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("id", "kind", "metadata_ok", g("$.cnpj").alias("cnpj"), g("$.sequencialDocumento").try_cast("int").alias("sequence"))
 
 
-@query(f"with w as (select * from (select *, row_number() over (order by id) as n from backfill_claims where url is not null) where n <= 200), done as (select distinct candidate_id from downloads) select w.id from w left join done on done.candidate_id = w.id where done.candidate_id is null order by discovered_at nulls last, id limit 20")
+@query(f"with w as (select * from backfill_claims where url is not null), done as (select distinct candidate_id from downloads) select w.id from w left join done on done.candidate_id = w.id where done.candidate_id is null order by discovered_at nulls last, id limit 20")
 def lease_claim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """20 claims that no lease holds."""
-    q = _t(spark, sf_dir, "backfill_claims").where("url IS NOT NULL").orderBy("id").limit(200)
+    q = _t(spark, sf_dir, "backfill_claims").where("url IS NOT NULL")
     leases = _t(spark, sf_dir, "downloads").select(F.col("candidate_id").alias("id"), F.lit("t").alias("token"), _now().alias("expires_at"), F.lit("done").alias("state"))
     return joins.claim(q, leases, key="id", order=[F.asc_nulls_last("discovered_at"), F.col("id")], now=_now(), limit=20).select("id")
 
@@ -496,7 +533,16 @@ def embedded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", markdown.from_pages(F.split("text", "\n## ")).alias("paged"))
 
 
-@query()
+_MARK = "'<!-- P[aá]gina (\\d+) -->'"
+
+
+@query(
+    f"""with w as (select result_id, ocr_markdown as t, regexp_extract_all(ocr_markdown, {_MARK}, 1) as ns, regexp_split_to_array(ocr_markdown, {_MARK}) as ps from worker_results where ocr_markdown is not null),
+    s as (select result_id, i, try_cast(ns[i - 1] as integer) as n, regexp_replace(ps[i], '^\\s+|\\s+$', '', 'g') as p from w, unnest(range(1, len(ps) + 1)) r(i)),
+    k as (select *, lag(n) over (partition by result_id order by i) as before from s where p <> ''),
+    o as (select result_id, string_agg(case when n is null or n = 1 or n is not distinct from before then p else '<!-- Página ' || n || ' -->' || chr(10) || chr(10) || p end, chr(10) || chr(10) order by i) as paged from k group by result_id)
+    select w.result_id, coalesce(o.paged, '') as paged from w left join o using (result_id)"""
+)
 def page_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page marks of recognised text as page comments that keep their numbers."""
     w = _t(spark, sf_dir, "worker_results").where("ocr_markdown IS NOT NULL")
@@ -517,7 +563,15 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _sourced(spark, sf_dir).where("listing_url IS NOT NULL")
     link = F.concat(F.lit('<li><a href="'), F.replace(F.col("url"), F.lit("&"), F.lit("&amp;")), F.lit('" title="edital">Edital de chamada <b>'), F.col("candidate_id").cast("string"), F.lit("</b></a></li>"))
     body = c.groupBy("source", F.col("listing_url").alias("page_url"), F.floor(F.col("candidate_id") / 200).alias("page_seq")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("candidate_id", link.alias("link")))), lambda x: x["link"]), "\n").alias("links"))
-    return body.select("source", "page_url", F.col("page_seq").cast("int").alias("page_seq"), F.concat(F.lit("<html><body><ul>"), "links", F.lit('</ul><script>var a = "<a href=x>";</script></body></html>')).alias("html"))
+    pages = body.select("source", "page_url", F.col("page_seq").cast("int").alias("page_seq"), F.concat(F.lit("<html><body><ul>"), "links", F.lit('</ul><script>var a = "<a href=x>";</script></body></html>')).alias("html"))
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landed:
+        _landed[key] = materialize(pages, "landed")
+    return _landed[key]
+
+
+# Pages landed by this process: they are written once for each application and folder.
+_landed: dict[tuple[str, str], DataFrame] = {}
 
 
 @query("select metadata.listing_url as page_url, cast(floor(candidate_id / 200) as integer) as page_seq, url as href, 'Edital de chamada ' || candidate_id as text, 'edital' as title from candidates where metadata.listing_url is not null")
@@ -527,7 +581,7 @@ def page_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The catalog's hosts as one generic source.
-CATALOG_SPEC = SourceSpec("catalog", (), listing_pdf=LinkRule(host="listing_bare", signal=r"(?<![\w])edital(?![\w])", query="keep"), candidate_cap=1_000_000_000)
+CATALOG_SPEC = SourceSpec("catalog", (), listing_pdf=LinkRule(host="listing_bare", signal=r"(?<![\w])edital(?![\w])", query="keep"), candidate_cap=None)
 
 
 @query(
@@ -535,16 +589,71 @@ CATALOG_SPEC = SourceSpec("catalog", (), listing_pdf=LinkRule(host="listing_bare
     r as (select *, case when trim(url) = '' then listing_url else url end as u from c), k as (select candidate_id, listing_url, {_sql_build(f"lower({_u(1, 'trim(u)')})", _u(2, 'trim(u)'), f"regexp_replace({_u(3, 'trim(u)')}, '/+$', '')", _u(4, 'trim(u)'))} as url from r
     where regexp_replace({SQL_HOST.replace('(url,', '(trim(u),')}, '^www\\.', '') = regexp_replace({SQL_HOST.replace('(url,', '(listing_url,')}, '^www\\.', '')),
     f as (select *, row_number() over (partition by url order by cast(floor(candidate_id / 200) as integer), candidate_id) as n from k)
-    select url, count(*) as found from f where coalesce({SQL_YEAR} >= 2026, true) and not regexp_matches({SQL_FOLD.format(SQL_FILENAME, 'url')}, '{SQL_EXCLUDED}') and n = 1 group by url"""
+    select cast(floor(candidate_id / 200) as integer) as page_seq, url, 'pdf' as kind, 'catalog' as source, listing_url, cast(null as varchar) as detail_url, '{NOW}' as discovered_at, 'listing_pdf' as origin, {SQL_YEAR} as extracted_year
+    from f where coalesce({SQL_YEAR} >= 2026, true) and not regexp_matches({SQL_FOLD.format(SQL_FILENAME, 'url')}, '{SQL_EXCLUDED}') and n = 1"""
 )
 def candidate_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: landed pages, anchors, links by rule, canonical form, year and policy guards, keep-first, candidates (X, P2, P5, F2, F8, R3, U11)."""
     pages = landed_pages(spark, sf_dir).drop("source")
     found = discovery.discover(pages, None, CATALOG_SPEC, discovered_at=F.lit(NOW), min_year=2026)
-    return found.groupBy("url").agg(F.count("*").alias("found"))
+    return found.select("seq.page_seq", "url", "kind", "metadata.*")
+
+
+# The catalog's detail pages as one generic source: the first 40 detail links in order, then their files.
+DETAIL_SPEC = SourceSpec("details", (), detail=LinkRule(host=None, signal="edital", query="keep"), min_year=False, policy=None, candidate_cap=None, detail_cap=40)
+_CANON = _sql_build(f"lower({_u(1, 'trim(d)')})", _u(2, 'trim(d)'), f"regexp_replace({_u(3, 'trim(d)')}, '/+$', '')", _u(4, 'trim(d)'))
+_SHAPED = _sql_build(f"lower({_u(1, 'trim(url)')})", _u(2, 'trim(url)'), _u(3, 'trim(url)'), _u(4, 'trim(url)'))
+
 
+def _page(rows: DataFrame, page: str, link: str, order: str) -> DataFrame:
+    """Pages of the links of `rows`, numbered by their first row."""
+    item = F.concat(F.lit('<li><a href="'), F.replace(F.col(link), F.lit("&"), F.lit("&amp;")), F.lit('">Edital</a></li>'))
+    grouped = rows.groupBy(F.col(page).alias("page_url")).agg(F.min(order).cast("int").alias("page_seq"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, item.alias("item")))), lambda x: x["item"]), "").alias("links"))
+    return grouped.select("page_url", "page_seq", F.concat(F.lit("<html><body>"), "links", F.lit("</body></html>")).alias("html"))
 
-@query()
+
+@query(
+    f"""with c as (select candidate_id, url, metadata.listing_url as l, metadata.detail_url as d from candidates where metadata.listing_url is not null and trim(metadata.detail_url) <> '' and trim(url) <> ''), k as (select *, {_CANON} as detail from c),
+    p as (select l, min(candidate_id) as page_seq from k group by l), f as (select k.*, p.page_seq, row_number() over (partition by detail order by p.page_seq, candidate_id) as n from k join p using (l)),
+    w as (select detail, l, row_number() over (order by page_seq, candidate_id) as place from f where n = 1), top as (select * from w where place <= 40),
+    u as (select top.*, k.candidate_id, {_SHAPED} as shaped from k join top using (detail) where regexp_matches(lower(trim(k.url)), '\.pdf($|[?#])')),
+    r as (select *, row_number() over (partition by shaped order by place, candidate_id) as n from u)
+    select shaped as url, l as listing_url, detail as detail_url, case when regexp_matches(lower(shaped), '\.pdf($|[?#])') then 'listing_pdf' else 'detail_page' end as origin, coalesce({SQL_YEAR.replace('(url,', '(shaped,')}, {SQL_YEAR.replace('(url,', '(detail,')}) as extracted_year from r where n = 1"""
+)
+def detail_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages to detail pages, the first 40 of these to their files."""
+    c = _t(spark, sf_dir, "candidates").select("candidate_id", "url", F.col("metadata.listing_url").alias("listing"), F.col("metadata.detail_url").alias("detail")).where("listing IS NOT NULL AND trim(detail) <> '' AND trim(url) <> ''")
+    c = c.withColumn("detail", urls.canonical(F.trim("detail")))
+    listings, details = materialize(_page(c, "listing", "detail", "candidate_id"), "listings"), materialize(_page(c, "detail", "url", "candidate_id"), "details")
+    found = discovery.discover(listings, details, DETAIL_SPEC, discovered_at=F.lit(NOW))
+    return found.select("url", "metadata.listing_url", "metadata.detail_url", "metadata.origin", "metadata.extracted_year")
+
+
+# The registry as it must be: source, listing pages, details, caps, policy, year guard.
+REGISTRY = """bndes 2 true 50 20 default true
+brde 2 true 50 20 default true
+fapergs 1 true 50 20 default true
+funbio 1 true 50 20 default true
+iis_rio 1 true 50 30 include_tdr true
+sema_rs 1 true 50 40 default true
+tnc 1 true 50 20 default true
+wwf 1 true 50 20 default true
+govbr_mma 1 true 50 20 default true
+unep 1 false 50 20 default true
+worldbank 1 false 50 20 default true
+fao 1 false 50 20 null false
+kfw 1 false 50 20 null false
+fundacao_grupo_boticario 1 true 50 20 null false
+msgov 1 true 50 40 null false"""
+
+
+def _registry_sql() -> str:
+    rows = [r.split() for r in REGISTRY.splitlines()]
+    known = " union all ".join(f"select '{n}' as source, {k} as listings, {d} as has_details, {c} as candidate_cap, {e} as detail_cap, {'null' if p == 'null' else repr(p)} as policy, {y} as min_year" for n, k, d, c, e, p, y in rows)
+    return f"{known} union all select source, case when origin_kind = 'html' then 1 else 0 end, null, null, null, null, null from source_catalog"
+
+
+@query(_registry_sql())
 def source_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registered sources with their caps and policies, beside those of the catalog."""
     from .sources.specs import SPECS
@@ -562,7 +671,7 @@ def stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from .streaming.incremental import latest_state, run_available
 
-    base = _shared(spark) + f"/garimpo/stream-{uuid.uuid4().hex[:12]}"
+    base = work_dir(spark) + f"/garimpo/stream-{uuid.uuid4().hex[:12]}"
     first = _t(spark, sf_dir, "downloads")
     stream = spark.readStream.schema(first.schema).parquet(f"{sf_dir}/downloads.parque[t]")
     keyed = stream.where("content_hash IS NOT NULL").select("download_id", F.lower(F.regexp_replace("content_hash", "^sha256:", "")).alias("content"), (-F.col("download_id")).alias("order"))
@@ -577,25 +686,12 @@ def stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/state-{last}").select("download_id", "content")
 
 
-def _shared(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    import atexit
-    import shutil
-    import tempfile
-
-    base = tempfile.mkdtemp(prefix="garimpo-")
-    atexit.register(shutil.rmtree, base, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", f"file://{base}")
-    return f"file://{base}"
-
-
 def queries() -> dict[str, Query]:
+    from . import job_queries, source_queries  # noqa: F401
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

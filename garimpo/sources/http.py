@@ -14,12 +14,16 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from urllib.parse import urlencode, urljoin, urlsplit
 
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.status import PERMANENT, RETRYABLE
 from ..functions.urls import BLOCKED_HOSTS, BLOCKED_IPV4, BLOCKED_IPV6, BLOCKED_SUFFIXES
 
-MAX_REDIRECTS = 5
+MAX_REDIRECTS = 10
+# Seconds to wait between the attempts of a download.
+DOWNLOAD_WAITS = (5.0, 15.0, 45.0)
 _NETWORKS = [ipaddress.ip_network(n) for n in BLOCKED_IPV4 + BLOCKED_IPV6]
 
 
@@ -49,8 +53,12 @@ class _NoRedirect(urllib.request.HTTPRedirectHandler):
         return None
 
 
-def fetch(url: str, *, attempts: int = 3, timeout: float = 30, max_bytes: int | None = None, safe: Callable[[str], bool] = is_safe, sleep: Callable[[float], None] = time.sleep) -> tuple[int, bytes, str | None]:
-    """(status, body, error). Redirects are followed hop by hop, each checked, and don't use up attempts."""
+def fetch(url: str, *, attempts: int = 3, timeout: float = 30, max_bytes: int | None = None, safe: Callable[[str], bool] = is_safe, sleep: Callable[[float], None] = time.sleep, waits: tuple[float, ...] = ()) -> tuple[int, bytes, str | None]:
+    """(status, body, error). Redirects are followed hop by hop, each checked, and don't use up attempts.
+
+    The wait after a failed attempt is that of `waits`, or two seconds more each
+    time; a Retry-After header overrides it, up to two minutes.
+    """
     opener = urllib.request.build_opener(_NoRedirect)
     error: str | None = None
     status = 0
@@ -59,7 +67,7 @@ def fetch(url: str, *, attempts: int = 3, timeout: float = 30, max_bytes: int |
         for _ in range(MAX_REDIRECTS + 1):
             if not safe(at):
                 return 0, b"", f"unsafe url {at}"
-            wait = 2.0 * attempt
+            wait = waits[min(attempt, len(waits)) - 1] if waits else 2.0 * attempt
             try:
                 with opener.open(urllib.request.Request(at, headers={"User-Agent": "garimpo"}), timeout=timeout) as r:
                     body = r.read() if max_bytes is None else r.read(max_bytes + 1)
@@ -134,7 +142,7 @@ class _PagesReader(DataSourceReader):
 
 
 class Downloads(DataSource):
-    """format("downloads"): contents of urls. Options: urls (a JSON list), max_bytes, attempts, partitions, allow_private."""
+    """format("downloads"): contents of a few urls given as an option; for a table of urls see `download`. Options: urls (a JSON list), max_bytes, attempts, partitions, allow_private."""
 
     @classmethod
     def name(cls) -> str:
@@ -159,10 +167,24 @@ class _DownloadsReader(DataSourceReader):
     def read(self, partition: QueryPartition) -> Iterator[tuple]:
         safe = (lambda _: True) if self.o.get("allow_private") == "true" else is_safe
         for url in partition.params["urls"]:
-            status, body, error = fetch(url, attempts=int(self.o.get("attempts", 4)), max_bytes=int(self.o.get("max_bytes", 15_000_000)), safe=safe)
+            status, body, error = fetch(url, attempts=int(self.o.get("attempts", 4)), max_bytes=int(self.o.get("max_bytes", 15_000_000)), safe=safe, waits=DOWNLOAD_WAITS)
             yield url, status, body if error is None else None, error
 
 
+def download(df: DataFrame, *, url_col: str = "url", attempts: int = 4, max_bytes: int = 15_000_000, allow_private: bool = False) -> DataFrame:
+    """(url, status, content, error) of the urls of a table: fetched in the tasks that hold them, a batch for each file. Null urls are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        safe = (lambda _: True) if allow_private else is_safe
+        for b in batches:
+            for url in b.column(0).to_pylist():
+                status, body, error = fetch(url, attempts=attempts, max_bytes=max_bytes, safe=safe, waits=DOWNLOAD_WAITS)
+                columns = [pa.array([url], pa.string()), pa.array([status], pa.int32()), pa.array([body if error is None else None], pa.binary()), pa.array([error], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["url", "status", "content", "error"])
+
+    return df.where(df[f"`{url_col}`"].isNotNull()).select(df[f"`{url_col}`"].alias("url")).mapInArrow(run, "url string, status int, content binary, error string")
+
+
 def register(spark) -> None:  # noqa: ANN001
     spark.dataSource.register(JsonPages)
     spark.dataSource.register(Downloads)

@@ -60,9 +60,9 @@ class SourceSpec:
     detail_pdf: LinkRule = field(default_factory=lambda: LinkRule(host=None, pdf=True, query="keep", strip_slash=False, distinct=False))
     min_year: bool = True
     policy: str | None = "default"
-    candidate_cap: int = 50
+    candidate_cap: int | None = 50
     cap_by_page: bool = False
-    detail_cap: int = 20
+    detail_cap: int | None = 20
     detail_origin: str = "detail_page"
     listing_origin: str = "listing_pdf"
     scope: tuple[tuple[str, ...], ...] = ()
@@ -97,11 +97,13 @@ def _match(rule: LinkRule, url: Column, base: Column) -> Column:
     return keep
 
 
-def keep_and_shape(rule: LinkRule, *, base: Column, href: Column, text: Column, title: Column, aria_label: Column) -> tuple[Column, Column]:
-    """(whether an anchor is kept, its canonical url)."""
-    href = F.trim(href)
-    root = F.concat(urls.canonical(base, keep_query=False), F.lit("/")) if rule.under_base else base
-    url = urls.join(root, href)
+def resolve(rule: LinkRule, base: Column, href: Column) -> Column:
+    """The url of an href on a page."""
+    return urls.join(F.concat(urls.canonical(base, keep_query=False), F.lit("/")) if rule.under_base else base, href)
+
+
+def keep_and_shape(rule: LinkRule, *, base: Column, href: Column, url: Column, text: Column, title: Column, aria_label: Column) -> tuple[Column, Column]:
+    """(whether an anchor is kept, its canonical url); url is its resolved url, which is used many times and should be a column by itself."""
     keep = _match(rule, url, base)
     if rule.pdf is True and not rule.always:
         keep = keep & urls.looks_like_pdf(href)
