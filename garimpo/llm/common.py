@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize, work_dir  # noqa: F401
+
 WORD = regex.compile(r"[^\W_]+")
 
 
@@ -27,31 +25,6 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[f"`{source}`" if source in df.columns else source].alias(name) for name, source in columns.items()])
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The shared folder of the session, from spark.checkpoint.dir.
-
-    Where it is unset and the master is local (tests), a temporary folder is
-    used; on a cluster an unset folder is an error.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    base = tempfile.mkdtemp(prefix="garimpo-")
-    atexit.register(shutil.rmtree, base, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", f"file://{base}")
-    return f"file://{base}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: computed once, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{work_dir(spark)}/garimpo/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def same(a: str, b: str) -> Column:
     return F.col(a) == F.col(b)
 

@@ -31,10 +31,6 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
-# A mix is made of at least about so many blocks.
-LEAST_BLOCKS = 2000
-
-
 def apportion(shares: list[float], block: list[float], limit: list[int], total: float) -> list[int]:
     """Blocks for each source: highest quotients first until `total` tokens are given; at most `limit` blocks each.
 
@@ -83,7 +79,7 @@ def mix(
     weights: DataFrame,
     *,
     total_tokens: int | None = None,
-    block_tokens: int = 4096,
+    block_tokens: int = 1024,
     shard_tokens: int = 20_000_000,
     seed: int = 42,
 ) -> DataFrame:
@@ -93,7 +89,8 @@ def mix(
     Documents without tokens, or of a source that is null, has no weight or a
     weight of 0, are not chosen. Sources are compared as written. A weighted
     source without documents leaves its share to the others, in proportion.
-    max_repeats null means 1. Rows of the same id are taken each.
+    max_repeats null means 1. Rows of the same id are taken each. A share is met
+    to about half a block of block_tokens.
     """
     w = weights.groupBy("source").agg(F.max("target_share").alias("target_share"), F.max(F.coalesce("max_repeats", F.lit(1))).cast("long").alias("max_repeats")).where("source IS NOT NULL AND target_share > 0 AND max_repeats > 0")
     few = w.count() <= 100_000
@@ -105,8 +102,6 @@ def mix(
     everything, reachable = summed[0] or 0, summed[1] or 0.0
     total = float(total_tokens if total_tokens is not None else reachable)
     shards = max(1, math.ceil(everything / shard_tokens))
-    # a share is met to about half a block, so a small total is made of smaller blocks
-    block_tokens = max(1, min(block_tokens, int(total / LEAST_BLOCKS)))
 
     order = F.xxhash64(F.lit(seed), "id", "source")
     placed = known.withColumn("order", order).withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(shards)))

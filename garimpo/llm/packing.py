@@ -5,8 +5,10 @@ are spread over shards of bounded size by a hash, and each shard is packed in
 one task: items in order of decreasing size, each into the tightest open
 container, which a segment tree over the remaining capacities finds in
 logarithmic time. Containers that a shard left with much room are packed again
-as items, in ever fewer shards, until one shard holds them, so that sharding
-costs no space that grows with the number of shards.
+as items, spread anew over shards of the same bound, round by round, until one
+shard holds them all or a round saves next to nothing: containers that are left
+then have no room for each other. So sharding costs no space that grows with the
+number of shards, and no task holds more than a shard.
 
 Only an item beyond the capacity is divided: into full containers of its own
 and a remainder, which is packed as an item.
@@ -24,6 +26,12 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
+# Kinds of containers are sent to all tasks; more than this are no table of kinds.
+KINDS = 10_000
+# A round of packing half-full containers again must save this share of them for another one to follow.
+LEAST_SAVED = 0.01
+
+
 class RoomTree:
     """Open containers by remaining capacity 0..capacity: a segment tree of counts over the capacities, a stack of containers at each leaf."""
 
@@ -124,10 +132,15 @@ def pack(
     count once. Rows of the same id are packed each, under names of their own.
     """
     kinds = containers.select(containers[f"`{name_col}`"].alias("container_name"), containers[f"`{capacity_col}`"].cast("long").alias("capacity")).where("container_name IS NOT NULL AND capacity > 0").distinct()
-    # kinds of containers are a small table by nature; its size is checked before it is sent to all tasks
-    kinds = F.broadcast(kinds) if kinds.count() <= 10_000 else kinds
-    keyed = sizes.withColumn("copy", F.monotonically_increasing_id()) if sizes.groupBy("id").count().where("count > 1").head(1) else sizes.withColumn("copy", F.lit(0).cast("long"))
-    keyed = materialize(keyed.select("id", "copy", "tokens"), "sizes")
+    if kinds.count() > KINDS:
+        raise ValueError(f"more than {KINDS} kinds of containers")
+    written = materialize(sizes.select("id", "tokens"), "sizes")
+    keyed = written.withColumn("copy", F.lit(0).cast("long"))
+    if written.groupBy("id").count().where("count > 1").head(1):
+        keyed = materialize(written.withColumn("copy", F.monotonically_increasing_id()), "sizes")
+    keyed = keyed.select("id", "copy", "tokens")
+    # every item is packed for every kind: the product is the task itself; kinds are few, which is checked above
+    kinds = F.broadcast(kinds)
     pieces = keyed.crossJoin(kinds) if kinds.head(1) else keyed.join(kinds, F.lit(False))
     pieces = pieces.withColumn("whole", F.floor(F.col("tokens") / F.col("capacity"))).withColumn("rest", F.col("tokens") % F.col("capacity"))
     name = F.concat_ws("-", F.lpad(F.col("id").cast("string"), 20, "0"), F.col("copy").cast("string"))
@@ -141,15 +154,22 @@ def pack(
     final = packed.select("container_name", "item", "bin")
     bins = packed.groupBy("container_name", "capacity", "bin").agg((F.first("capacity") - F.first("room")).alias("size"))
     moved = None
+    salt = 0
     while shards > 1:
-        open_bins = bins.where(F.col("size") < F.col("capacity") * (1 - roomy))
-        shards = max(1, min(shards // 2, math.ceil((open_bins.groupBy("container_name").count().agg(F.max("count")).first()[0] or 0) / shard_items)))
-        again = materialize(_pack_shards(open_bins.select("container_name", "capacity", F.pmod(F.xxhash64("bin"), F.lit(shards)).alias("shard"), F.col("bin").alias("item"), "size")), "repacked")
+        salt += 1
+        open_bins = materialize(bins.where(F.col("size") < F.col("capacity") * (1 - roomy)), "open")
+        most = open_bins.groupBy("container_name").count().agg(F.sum("count").alias("all"), F.max("count").alias("most")).first()
+        if not most.most:
+            break
+        shards = max(1, math.ceil(most.most / shard_items))
+        again = materialize(_pack_shards(open_bins.select("container_name", "capacity", F.pmod(F.xxhash64(F.lit(salt), "bin"), F.lit(shards)).alias("shard"), F.col("bin").alias("item"), "size")), "repacked")
         step = again.select("container_name", F.col("item").alias("bin"), F.col("bin").alias("next"))
         moved = step if moved is None else materialize(
             moved.join(step.select("container_name", F.col("bin").alias("next"), F.col("next").alias("last")), ["container_name", "next"], "left").select("container_name", "bin", F.coalesce("last", "next").alias("next")).unionByName(step.join(moved, ["container_name", "bin"], "left_anti")), "moved"
         )
         bins = again.groupBy("container_name", "capacity", F.col("bin")).agg((F.first("capacity") - F.first("room")).alias("size"))
+        if bins.count() > most.all * (1 - LEAST_SAVED):
+            break
     if moved is not None:
         final = final.join(moved, ["container_name", "bin"], "left").select("container_name", "item", F.coalesce("next", "bin").alias("bin"))
     fitted = loose.join(final, ["container_name", "item"]).select("container_name", "capacity", "id", "piece_no", F.col("size").alias("piece_tokens"), F.col("bin").alias("container_id"))

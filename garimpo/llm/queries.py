@@ -90,6 +90,17 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.duplicates_of_history(_table(spark, sf_dir, "downloads"), _table(spark, sf_dir, "candidates"))
 
 
+def p6_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored index after all batches: keys of the last batch held by exhaustive search, those the graphs find, shards and their widest beam."""
+    downloads, candidates = _table(spark, sf_dir, "downloads"), _table(spark, sf_dir, "candidates")
+    index = history.HistoryIndex()
+    history.duplicates_of_history(downloads, candidates, index=index)
+    shards = index.report(spark).agg(F.count("*").alias("shards"), F.max("level").alias("top_level"), F.sum("keys").alias("keys"), F.max("widest_beam").alias("widest_beam"))
+    rows = materialize(history.keyed_rows(downloads, candidates), "all-keys")
+    repeats = history.duplicates_of_history(downloads, candidates).select(F.col("duplicate_id").alias("id"))
+    return history.recall(index, rows.where("segment = 8"), rows.join(repeats, "id", "left_anti")).crossJoin(shards)
+
+
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = tokens.token_counts(_table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text")
     return packing.pack(sizes, _table(spark, sf_dir, "container_sizes"))
@@ -134,7 +145,7 @@ def p9_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.without_residue(_table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text")
 
 
-QUERIES = [p1_found, p1_groups, p2_found, p2_restored, p3_found, p3_segments, p4_found, p4_sources, p4_limits, p5_found, p5_repaired, p6_found, p7_containers, p7_unused, p8_mix, p8_shares, p9_found, p9_reasons, p9_clean]
+QUERIES = [p1_found, p1_groups, p2_found, p2_restored, p3_found, p3_segments, p4_found, p4_sources, p4_limits, p5_found, p5_repaired, p6_found, p6_recall, p7_containers, p7_unused, p8_mix, p8_shares, p9_found, p9_reasons, p9_clean]
 
 
 def queries() -> dict[str, Query]:

@@ -278,3 +278,42 @@ def test_residue_of_copies_and_of_lines_without_context(spark):
     df = spark.createDataFrame(rows, "id long, text string")
     got = {r.id for r in residue.flagged(df, id_col="id", text_col="text").where("reason = 'field'").collect()}
     assert got == {i for i, _ in rows if i < 60}
+
+
+def test_a_stored_index_reads_only_new_batches(spark, tmp_path):
+    rows = [(i, i, i // 100, f"{i % 170:064x}", 5) for i in range(400)]
+    d = spark.createDataFrame(rows, "download_id long, candidate_id long, batch_no int, content_hash string, content_length long")
+    c = spark.createDataFrame([], "candidate_id long, url string")
+    path = f"file://{tmp_path}/index"
+    whole = {(r.accepted_id, r.duplicate_id) for r in history.duplicates_of_history(d, c, part_nodes=16).collect()}
+    early = history.duplicates_of_history(d.where("batch_no < 3"), c, path=path, part_nodes=16)
+    first = {(r.accepted_id, r.duplicate_id) for r in early.collect()}
+    # the history's rows are gone: only the stored graphs know them
+    late = {(r.accepted_id, r.duplicate_id) for r in history.duplicates_of_history(d.where("batch_no = 3"), c, path=path, part_nodes=16).collect()}
+    assert first | late == whole and late == {(i % 170, i) for i in range(300, 400)}
+    index = history.HistoryIndex(path=path, spark=spark)
+    assert index.last == 3 and sum(s["keys"] for s in index.shards) == 170
+    assert history.duplicates_of_history(d, c, path=path).count() == 0
+
+
+def test_long_chains_within_a_batch(spark):
+    # each row repeats the one before by one key and the next by the other
+    rows = [(i, i, 1, f"{(i + 1) // 2:064x}", 5) for i in range(1, 60)]
+    d = spark.createDataFrame(rows, "download_id long, candidate_id long, batch_no int, content_hash string, content_length long")
+    c = spark.createDataFrame([(i, f"https://a.example/{i // 2}") for i in range(1, 60)], "candidate_id long, url string")
+    got = {(r.accepted_id, r.duplicate_id) for r in history.duplicates_of_history(d, c).collect()}
+    assert got == {(i - 1, i) for i in range(2, 60, 2)}
+
+
+def test_half_full_containers_stay_in_bounded_shards(spark):
+    sizes = spark.createDataFrame([(i, 60) for i in range(600)], "id long, tokens long")
+    kinds = spark.createDataFrame([("s", 100)], "container_name string, capacity_tokens int")
+    shards = []
+    real = packing._pack_shards
+    packing._pack_shards = lambda items: (shards.append(items.groupBy("container_name", "shard").count().agg(F.max("count")).first()[0]), real(items))[1]
+    try:
+        packed = packing.pack(sizes, kinds, shard_items=100)
+        assert packed.select("container_id").distinct().count() == 600
+    finally:
+        packing._pack_shards = real
+    assert max(shards) <= 150 and len(shards) <= 3
