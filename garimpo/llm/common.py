@@ -92,3 +92,12 @@ def list_array(arrays: list[np.ndarray]) -> pa.Array:
     np.cumsum([len(a) for a in arrays], out=offsets[1:])
     flat = np.concatenate(arrays) if arrays else np.empty(0, np.uint64)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
+
+
+def distinct_texts(df: DataFrame) -> DataFrame:
+    """(text): each text of a column `text` once. Only texts that occur again are shuffled; the others stay where they are."""
+    keyed = df.select("text", F.xxhash64("text").alias("digest"))
+    again = materialize(keyed.groupBy("digest").agg(F.count("*").alias("rows")).where("rows > 1").select("digest"), "copies")
+    if not again.head(1):
+        return keyed.select("text")
+    return keyed.join(again, "digest", "left_anti").unionByName(keyed.join(again, "digest", "left_semi").dropDuplicates(["text"])).select("text")

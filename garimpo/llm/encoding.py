@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, materialize, pick
+from .common import chunks, distinct_texts, materialize, pick
 
 SPACE = re.compile(r"[ \t\r\n\f\v]+")
 GAP = re.compile("[^\x00-\x3e\x40-\x7f]+")  # outside ASCII, or the question mark
@@ -68,7 +68,7 @@ def word_forms(text: str, cache_: dict[str, tuple[str, str, bool] | None]) -> It
             form = token.strip(EDGE)
             bare = _strip(form)
             # codes, links and lone signs are no words
-            plain = not GAP.search(form) or "://" in form or len(form) > 80
+            plain = not GAP.search(form) or "://" in form
             known = None if plain else (bare, form, sum(c.isalpha() for c in bare) < 3)
             if len(cache_) > FLUSH:
                 cache_.clear()
@@ -102,12 +102,8 @@ def count_forms(df: DataFrame, *, text_col: str) -> DataFrame:
                 yield out()
         yield out()
 
-    src = pick(df, text=text_col).where("text IS NOT NULL").withColumn("digest", F.xxhash64("text"))
-    again = materialize(src.groupBy("digest").agg(F.count("*").alias("rows")).where("rows > 1").select("digest"), "copies")
-    distinct = src
-    if again.head(1):
-        distinct = src.join(again, "digest", "left_anti").unionByName(src.join(again, "digest", "left_semi").dropDuplicates(["text"]))
-    partial = distinct.select("text").mapInArrow(run, "key string, form string, n long")
+    distinct = distinct_texts(pick(df, text=text_col).where("text IS NOT NULL"))
+    partial = distinct.mapInArrow(run, "key string, form string, n long")
     return partial.groupBy("key", "form").agg(F.sum("n").alias("n"))
 
 
@@ -174,7 +170,7 @@ def checked(pairs: Iterable[tuple[str, str, int, int]], least_words: int = 2) ->
     kept: dict[str, tuple[str, int]] = {}
     for bad, good, n, words in pairs:
         # a sequence of several characters that a known misreading explains needs no second word
-        if len(good) != 1 or len(bad) > 12 or (words < least_words and len(bad) < 2) or any(c in LOST for c in bad):
+        if len(good) != 1 or (words < least_words and len(bad) < 2) or any(c in LOST for c in bad):
             continue
         if bad in misreadings(good) and n > kept.get(bad, ("", 0))[1]:
             kept[bad] = (good, n)
@@ -257,7 +253,7 @@ def learn(counts: DataFrame) -> tuple[DataFrame, Mappings]:
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.string()))], names=["bad", "good", "n", "key"])
 
     suspects = twins.where("form <> mode").select("key", "form", "n", "mode", F.expr("2 * n <= mode_n").alias("rare"))
-    aligned = suspects.mapInArrow(run, "bad string, good string, n long, key string").where("length(good) = 1 AND length(bad) <= 12")
+    aligned = suspects.mapInArrow(run, "bad string, good string, n long, key string").where("length(good) = 1")
     # grouped by pairs of characters: bounded by the alphabets; the exact check then keeps those of known encodings
     pairs = aligned.groupBy("bad", "good").agg(F.sum("n").alias("n"), F.count_distinct("key").alias("words")).where("words >= 2 OR length(bad) > 1").collect()
     learned = checked((r.bad, r.good, r.n, r.words) for r in pairs)

@@ -1,15 +1,18 @@
 """Problem 5: noise in text from scanned pages.
 
 1. Vocabulary: words and pairs of neighbouring words are counted (summed per
-   task before the shuffle). A word is in the vocabulary if it makes up at least
-   one in 100,000 words, so it has 100,000 words at most and may be sent to all.
+   task before the shuffle), copies of one text once. A word is in the vocabulary
+   if it makes up at least one in 200,000 words, so it has 200,000 words at most
+   and may be sent to all. A word that look-alikes tie to one DOUBT times as
+   frequent is not in it: it may be that word misread, however often.
 2. One pass over the texts finds page furniture (running lines that recur in a
    text, whatever way they were read; page numbers that count on), words split
    at line ends, and words of the body that are not in the vocabulary but look
    like one misread.
-3. For each distinct such word a Levenshtein automaton is intersected with the
-   vocabulary's trie: all words within the distance are found, none is missed
-   and no list of pairs is made. Look-alike characters cost nothing.
+3. For each distinct such word, in whatever case, a Levenshtein automaton is
+   intersected with the vocabulary's trie: all words within the distance are
+   found, none is missed and no list of pairs is made. Look-alike digits and
+   signs cost nothing; groups like rn for m are undone before the search.
 4. Candidates are ranked by the word before (pair counts), the distance and the
    frequency; a correction must be explained by look-alike characters.
 5. Repair: furniture lines go, split words are joined, misread words are
@@ -27,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, materialize, pick
+from .common import chunks, distinct_texts, materialize, pick
 
 ALPHA = re.compile(r"[^\W\d_]+")
 FLUSH = 400_000
-VOCABULARY_SHARE = 100_000
+VOCABULARY_SHARE = 200_000
+# A word must be so many times as frequent as one that may be a misreading of it.
+DOUBT = 20
 
 # Characters that scanners take for one another (read -> meant).
 LOOKALIKES = {
@@ -223,14 +228,34 @@ def count_words(df: DataFrame, *, text_col: str) -> DataFrame:
                 yield out()
         yield out()
 
-    return pick(df, text=text_col).where("text IS NOT NULL").mapInArrow(run, "before string, word string, n long").groupBy("before", "word").agg(F.sum("n").alias("n"))
+    return distinct_texts(pick(df, text=text_col).where("text IS NOT NULL")).mapInArrow(run, "before string, word string, n long").groupBy("before", "word").agg(F.sum("n").alias("n"))
 
 
 def vocabulary_of(counts: DataFrame) -> dict[str, int]:
-    """Words of at least a VOCABULARY_SHARE-th of all words (three at least): no more than VOCABULARY_SHARE words."""
+    """Words of at least a VOCABULARY_SHARE-th of all words (three at least), the doubtful ones left out: no more than VOCABULARY_SHARE words.
+
+    Doubtful words are found by the automaton, in the tasks that hold them.
+    """
     total = counts.where("before IS NULL").agg(F.sum("n")).first()[0] or 0
     least = max(3, math.ceil(total / VOCABULARY_SHARE))
-    return {r.word: r.n for r in counts.where("before IS NULL").where(F.col("n") >= least).select("word", "n").collect()}
+    known = {r.word: r.n for r in counts.where("before IS NULL").where(F.col("n") >= least).select("word", "n").collect()}
+    # only a word with a part that look-alikes give, and much rarer than the most frequent word, can be doubtful
+    top = max(known.values(), default=0)
+    asked = [(w,) for w, n in known.items() if len(w) >= 5 and n * DOUBT <= top]
+    if not asked:
+        return known
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root = trie(known)
+        for b in batches:
+            out = [w for w in b.column(0).to_pylist() if any(n >= DOUBT * known[w] for _, _, n in corrections(root, known, w))]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["word"])
+
+    spark = counts.sparkSession
+    doubtful = spark.createDataFrame(asked, "word string").repartition(max(1, len(asked) // 5000)).mapInArrow(run, "word string").collect()
+    for r in doubtful:
+        known.pop(r.word, None)
+    return known
 
 
 # ---------------------------------------------------------------- retrieval
@@ -311,7 +336,7 @@ def corrections(root: dict, words: dict[str, int], form: str) -> list[tuple[str,
         # groups are several edits at once: the automaton runs on the word with one group undone
         at = read.find(a)
         while at >= 0:
-            found.update(w for w, _ in within(root, read[:at] + b + read[at + len(a) :], 0))
+            found.update(w for w, _ in within(root, read[:at] + b + read[at + len(a) :], 1 if mixed else 0))
             at = read.find(a, at + 1)
     out = []
     for w in found:
@@ -338,17 +363,22 @@ def _mixed(word: str) -> bool:
     )
 
 
+def _odd_capital(word: str) -> bool:
+    """A word in capitals but for an l, which is an I misread."""
+    return "l" in word[1:] and word.replace("l", "I").isupper()
+
+
 def _suspect(word: str, vocabulary: dict[str, int], latin: frozenset[str]) -> bool:
-    if len(word) < 3 or len(word) > 30 or word.lower() in vocabulary:
+    if len(word) < 3 or word.lower() in vocabulary:
         return False
     if not word.isalpha():
         return _mixed(word)
-    return len(word) >= 5 and (word.islower() or (word[0].isupper() and word[1:].islower() and any(a in word for a in ("rn", "cl", "vv")))) and latin.issuperset(word.lower())
+    return len(word) >= 5 and (word.islower() or word.isupper() or word[1:].islower() or _odd_capital(word)) and latin.issuperset(word.lower())
 
 
 def inspect(df: DataFrame, vocabulary: dict[str, int], *, id_col: str, text_col: str) -> DataFrame:
-    """(id, header, pageno, hyphen, suspects array<struct<before, form>>) of the texts in which anything was found."""
-    src = pick(df, id=id_col, text=text_col).where("id IS NOT NULL AND text IS NOT NULL").withColumn("id", F.col("id").cast("long"))
+    """(id, digest, header, pageno, hyphen, suspects array<struct<before, form>>) of the texts in which anything was found."""
+    src = pick(df, id=id_col, text=text_col).where("id IS NOT NULL AND text IS NOT NULL").withColumn("id", F.col("id").cast("long")).withColumn("digest", F.xxhash64("text"))
     uses: Counter = Counter()
     for w, n in vocabulary.items():
         uses.update(dict.fromkeys(w, n))
@@ -359,29 +389,40 @@ def inspect(df: DataFrame, vocabulary: dict[str, int], *, id_col: str, text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, 1000):
             rows = []
-            for id_, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for id_, text, digest in zip(*(b.column(k).to_pylist() for k in range(3))):
                 lines = text.split("\n")
                 f = Furniture(lines)
                 skip = f.running | f.numbers
                 split = split_words(lines, skip, vocabulary)
                 suspects = {(before, w) for before, w in unknown_words(lines, skip, split, vocabulary) if _suspect(w, vocabulary, latin)}
                 if f.running or f.numbers or split or suspects:
-                    rows.append((id_, bool(f.running), bool(f.numbers), bool(split), [{"before": x, "form": y} for x, y in suspects]))
-            types = (pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pair)
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["id", "header", "pageno", "hyphen", "suspects"])
+                    rows.append((id_, digest, bool(f.running), bool(f.numbers), bool(split), [{"before": x, "form": y} for x, y in suspects]))
+            types = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pair)
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["id", "digest", "header", "pageno", "hyphen", "suspects"])
 
-    return src.mapInArrow(run, "id long, header boolean, pageno boolean, hyphen boolean, suspects array<struct<before: string, form: string>>")
+    return src.mapInArrow(run, "id long, digest long, header boolean, pageno boolean, hyphen boolean, suspects array<struct<before: string, form: string>>")
 
 
 def misread_words(inspected: DataFrame, counts: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
     """(id, form, right): the suspects that are misread words of the vocabulary, with the best candidate.
 
-    A candidate must be 20 times as frequent as the form unless digits or signs
-    give the misreading away. Words of letters and look-alike digits that no
-    candidate explains (names) are misread as well, with right null.
+    A candidate must be DOUBT times as frequent as the form, copies of one text
+    counted once, unless digits or signs give the misreading away. Words of
+    letters and look-alike digits that no candidate explains (names) are misread
+    as well, with right null.
     """
-    seen = inspected.select("id", F.explode("suspects").alias("s")).select("id", "s.before", "s.form")
-    forms = seen.groupBy("form").agg(F.count("*").alias("uses"))
+    seen, candidates = _candidates(inspected, vocabulary)
+    pairs = counts.where("before IS NOT NULL").select("before", F.col("word").alias("right"), F.col("n").alias("pair_n"))
+    ranked = seen.join(candidates, "form").join(pairs, ["before", "right"], "left")
+    return ranked.groupBy("id", "form").agg(
+        F.max_by("right", F.struct(F.coalesce("pair_n", F.lit(0)) > 0, -F.col("errors"), F.coalesce("pair_n", F.lit(0)), "freq", "right")).alias("right")
+    )
+
+
+def _candidates(inspected: DataFrame, vocabulary: dict[str, int]) -> tuple[DataFrame, DataFrame]:
+    """(id, before, form) of the suspects, and (form, right, errors, freq) of what they may be."""
+    seen = inspected.select("id", "digest", F.explode("suspects").alias("s")).select("id", "digest", "s.before", "s.form")
+    forms = seen.groupBy("form").agg(F.count_distinct("digest").alias("uses"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         root = trie(vocabulary)
@@ -389,20 +430,14 @@ def misread_words(inspected: DataFrame, counts: DataFrame, vocabulary: dict[str,
             rows: list[tuple] = []
             for form, uses in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 mixed = not form.isalpha()
-                found = [(form, w, e, n) for w, e, n in corrections(root, vocabulary, form) if mixed or n >= 20 * uses]
+                found = [(form, w, e, n) for w, e, n in corrections(root, vocabulary, form) if mixed or n >= DOUBT * uses]
                 if mixed and not found and _name_like(form):
                     found = [(form, None, 9, 0)]
                 rows += found
             types = (pa.string(), pa.string(), pa.int32(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["form", "right", "errors", "freq"])
 
-    candidates = materialize(forms.mapInArrow(run, "form string, right string, errors int, freq long"), "candidates")
-    pairs = counts.where("before IS NOT NULL").select("before", F.col("word").alias("right"), F.col("n").alias("pair_n"))
-    ranked = seen.join(candidates, "form").join(pairs, ["before", "right"], "left")
-    best = ranked.groupBy("id", "form").agg(
-        F.max_by("right", F.struct(F.coalesce("pair_n", F.lit(0)) > 0, -F.col("errors"), F.coalesce("pair_n", F.lit(0)), "freq", "right")).alias("right")
-    )
-    return best
+    return seen.drop("digest"), materialize(forms.mapInArrow(run, "form string, right string, errors int, freq long"), "candidates")
 
 
 def _name_like(form: str) -> bool:
@@ -424,7 +459,9 @@ def noise_kinds(df: DataFrame, *, id_col: str, text_col: str, least_misread: int
     found = materialize(inspect(df, vocabulary, id_col=id_col, text_col=text_col), "inspected")
     kinds = F.array_compact(F.array(*[F.when(F.col(k), F.lit(k)) for k in ("header", "pageno", "hyphen")]))
     plain = found.select("id", F.explode(kinds).alias("noise_kind"))
-    misread = misread_words(found, counts, vocabulary).groupBy("id").agg(F.count_distinct("form").alias("n")).where(F.col("n") >= least_misread).select("id", F.lit("misread").alias("noise_kind"))
+    # which candidate is right matters to the repair only, so no pair counts here
+    seen, candidates = _candidates(found, vocabulary)
+    misread = seen.join(candidates.select("form").distinct(), "form", "left_semi").groupBy("id").agg(F.count_distinct("form").alias("n")).where(F.col("n") >= least_misread).select("id", F.lit("misread").alias("noise_kind"))
     return plain.unionByName(misread).distinct()
 
 

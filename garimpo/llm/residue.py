@@ -8,11 +8,16 @@
   is residue; a span that all records have there is the template's own text.
 * Filler: blocks that repeat one phrase, run along a keyboard row, or consist of
   words that occur with the known filler words only (learned from the blocks
-  around them).
-* Error pages: short texts with nothing but an error message. Whole-page
-  templates (texts with names, numbers and codes masked) are counted; known
-  wording or the form of a program failure marks the template, and a template
-  that several records share carries over to records of slightly other wording.
+  around them, against the counts of the same pass).
+* Error pages: texts of any length that are nothing but an error message. The
+  whole-page template of every text (its words, with names, numbers and codes
+  masked) is counted in the same pass. Known wording, or the form of a program's
+  failure, is the seed that marks a template; every record of a marked template
+  that several records share goes with it, whatever its own wording. A page whose
+  template occurs once is judged by the seed alone and named so (`error_page`).
+
+Two passes over the texts: one counts (contexts, templates, filler words), one
+judges.
 """
 
 from __future__ import annotations
@@ -72,7 +77,11 @@ EXTRAS = re.compile(
     r"(?:tente novamente|inténtelo de nuevo|try again|réessayez|versuchen sie)[^.]*\.?|(?:volte|vuelva|go back|revenez|kehren sie)[^.]*\.?|\bray(?: id)?:? [0-9a-f]+|\bid:? ?\d+|\b(?:[\w-]+\.)+[a-z]{2,}\b|</?\w+[^>]*>|\b\d+\b|^\s*(?:observação|nota|note|aviso|hinweis|remarque|erro|error|http)\b:?",
     re.I | re.M,
 )
-ERROR_PAGE_LIMIT = 700
+# Longer pages than this are judged by the share of their lines or sentences, for which a cheap test of their words comes first.
+SHORT_PAGE = 700
+# What every line of a program's failure, and every sentence of a message, has one of.
+FAILURE_KEYS = ("traceback", 'file "', "exception", "error", "warning", "notice", "deprecated", "uncaught", "stack trace", "\n\tat ", "\n    at ", "\n  at ", "ora-", "sqlstate", "segmentation", "http")
+MESSAGE_KEYS = ("script", "skript", "cookie", "navegador", "browser", "navigateur", "captcha", "cloudflare", "rob", "found", "encontrad", "error", "erro", "fehler", "erreur", "404", "403", "500", "503", "session", "sess", "sitzung", "login", "manuten", "mainten", "mantenim", "wartung", "verif", "verfügbar", "dispon", "existe", "acces", "acess", "zugriff")
 
 
 def _mask(token: str) -> str:
@@ -147,11 +156,17 @@ def name_like(span: str) -> bool:
 
 
 def scan_templates(df: DataFrame) -> DataFrame:
-    """(kind, a, b, plain, id, spot, span) rows: summed contexts, and the spans with theirs; there plain is a hash of the masked text."""
+    """(kind, a, b, plain, id, spot, span) rows of one pass.
+
+    Summed contexts (kinds g and b), words of blocks with a known filler word
+    (kind f), the masked text's hash as plain of every text (kind p), and the
+    spans with their contexts, where plain is that hash too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         neighbours: Counter = Counter()
         around_one: Counter = Counter()
+        fillers: Counter = Counter()
         masks = Masks()
         names = ["kind", "a", "b", "plain", "id", "spot", "span"]
         types = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string())
@@ -161,12 +176,15 @@ def scan_templates(df: DataFrame) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             rows = [("g", *c, n, None, None, None) for c, n in neighbours.items()] + [("b", *c, n, None, None, None) for c, n in around_one.items()]
+            rows += [("f", w, None, n, None, None, None) for w, n in fillers.items()]
             neighbours.clear()
             around_one.clear()
+            fillers.clear()
             return batch(rows)
 
         for b in chunks(batches, 500):
             spots: list[tuple] = []
+            pages: list[tuple] = []
             for id_, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 spot, first = 0, len(spots)
                 lines = list(aligned(text, masks))
@@ -189,11 +207,15 @@ def scan_templates(df: DataFrame) -> DataFrame:
                     else:
                         neighbours.update(zip(words, words[1:]))
                         around_one.update(zip(words, words[2:]))
+                wording = xxhash.xxh64_intdigest("\n".join([" ".join(words) for words, _ in lines if words])) >> 1
+                pages.append(("p", None, None, wording, id_, None, None))
                 if len(spots) > first:
-                    wording = xxhash.xxh64_intdigest("\n".join(" ".join(words) for words, _ in lines)) >> 1
                     spots[first:] = [(*s[:3], wording, *s[4:]) for s in spots[first:]]
-            if spots:
-                yield batch(spots)
+                low = text.lower()
+                if any(seed in low for seed in FILLER_SEEDS):
+                    blocks = (WORD.findall(block) for block in BREAK.split(low))
+                    fillers.update(w for own in blocks if not FILLER_SEEDS.isdisjoint(own) for w in own)
+            yield batch(spots + pages)
             if len(neighbours) + len(around_one) > FLUSH:
                 yield out()
         yield out()
@@ -201,19 +223,18 @@ def scan_templates(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, "kind string, a string, b string, plain long, id long, spot int, span string")
 
 
-def unfilled_fields(df: DataFrame, *, least: int = 3, factor: float = 3.0) -> DataFrame:
-    """(id, spot, span): marked spans where aligned records have plain words, `factor` times as often and `least` times at least.
+def unfilled_fields(rows: DataFrame, *, least: int = 3, factor: float = 3.0) -> DataFrame:
+    """(id, spot, span) of scanned rows: marked spans where aligned records have plain words, `factor` times as often and `least` times at least.
 
     Spans whose marks are used for nothing but fields need no aligned record.
     They are the template's own text where five or more records of different
     wording have the same span and none has plain words. Blanks to be filled
     by hand never count.
     """
-    rows = materialize(scan_templates(df), "contexts")
-    spots = rows.where("id IS NOT NULL").select("kind", "a", "b", "id", "spot", "span", F.col("plain").alias("wording"))
+    spots = rows.where("spot IS NOT NULL").select("kind", "a", "b", "id", "spot", "span", F.col("plain").alias("wording"))
     # copies of one text, names and numbers masked, count once
     wanted = spots.groupBy("kind", "a", "b").agg(F.count("*").alias("marked"), F.count_distinct("wording").alias("wordings"), F.count_distinct("span").alias("spans"))
-    plain = rows.where("id IS NULL").join(wanted.select("kind", "a", "b"), ["kind", "a", "b"], "left_semi").groupBy("kind", "a", "b").agg(F.sum("plain").alias("plain"))
+    plain = rows.where("kind IN ('g', 'b') AND id IS NULL").join(wanted.select("kind", "a", "b"), ["kind", "a", "b"], "left_semi").groupBy("kind", "a", "b").agg(F.sum("plain").alias("plain"))
     judged = wanted.join(plain, ["kind", "a", "b"], "left").withColumn("plain", F.coalesce("plain", F.lit(0)))
     slot = (F.col("plain") >= least) & (F.col("plain") >= factor * F.col("wordings"))
     kept = (F.col("kind") != "n") & (F.col("plain") == 0) & (F.col("wordings") >= 5) & (F.col("spans") == 1)
@@ -247,36 +268,18 @@ def keyboard_row(words: list[str]) -> bool:
     return any(sum(n for c, n in letters.items() if c in row) >= 0.95 * total for row in KEYBOARD)
 
 
-def filler_words(df: DataFrame, *, most: int = 5000) -> frozenset[str]:
-    """Words at least half of whose texts hold a known filler word; of more than `most`, those of most such texts.
+def filler_words(rows: DataFrame) -> frozenset[str]:
+    """Words at least half of whose uses are in blocks with a known filler word, of scanned rows.
 
-    Only texts with a known filler word are split into blocks; the words of
-    their blocks are then counted in all texts.
+    All uses are those of the pair counts. A word must make up a 100,000th of the
+    filler blocks: so there are 100,000 at most, and rarer ones decide no block.
     """
-
-    def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for b in chunks(batches, 500):
-            for text in b.column(1).to_pylist():
-                blocks = (frozenset(WORD.findall(block)) for block in BREAK.split(text.lower()))
-                counts.update(frozenset().union(*(w for w in blocks if not FILLER_SEEDS.isdisjoint(w))))
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-
-    holds = F.lower("text").rlike("|".join(sorted(FILLER_SEEDS)))
-    near = df.where(holds).mapInArrow(seeded, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n >= 2").orderBy(F.desc("n"), "word").limit(most).collect()
-    wanted = {r.word: r.n for r in near}
-    if not wanted:
-        return FILLER_SEEDS
-
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for b in chunks(batches, 500):
-            for text in b.column(1).to_pylist():
-                counts.update(wanted.keys() & set(text.lower().split()))
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-
-    everywhere = {r.word: r.n for r in df.mapInArrow(total, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()}
-    return frozenset(w for w, n in wanted.items() if 2 * n >= everywhere.get(w, 0)) | FILLER_SEEDS
+    near = rows.where("kind = 'f'").groupBy(F.col("a").alias("word")).agg(F.sum("plain").alias("n")).where("n >= 2")
+    pairs = rows.where("kind = 'g' AND id IS NULL").groupBy("a").agg(F.sum("plain").alias("n"))
+    uses = pairs.select(F.lower(F.regexp_extract("a", r"\p{L}+", 0)).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("uses"))
+    found = near.join(uses, "word", "left").where("2 * n >= coalesce(uses, 0)")
+    total = near.agg(F.sum("n")).first()[0] or 0
+    return frozenset(r.word for r in found.where(F.col("n") * 100_000 >= total).select("word").collect()) | FILLER_SEEDS
 
 
 def same_in_all_sections(text: str) -> bool:
@@ -303,65 +306,86 @@ def is_filler(text: str, words: frozenset[str]) -> bool:
     return False
 
 
-def page_template(text: str) -> str:
-    """A short text with names, numbers and codes masked, in lower case."""
-    plain = EXTRAS.sub(" ", text)
-    return " ".join(_mask(w).lower().strip(".,;:!") for w in plain.split() if _mask(w) != "9")[:400]
-
-
 def error_page(text: str) -> bool:
-    """Whether a text is nothing but an error message, a program failure or a script notice."""
+    """Whether a text is nothing but an error message, a program failure or a script notice.
+
+    At any length: at least half of the lines are a failure's, or the text is one
+    message with little beside it, or four fifths of its sentences, and of their
+    words, are messages.
+    """
     body = text.strip()
-    if not body or len(body) > 3 * ERROR_PAGE_LIMIT:
+    if not body:
         return False
-    failure = FAILURE.search(body)
-    if failure:
-        lines = [x for x in body.split("\n") if x.strip()]
-        technical = sum(bool(FAILURE.search(x)) or x.startswith((" ", "\t")) for x in lines)
-        return technical * 2 >= len(lines) or len(body) <= 250
-    if len(body) > ERROR_PAGE_LIMIT:
-        return False
-    if NOSCRIPT.match(body):
-        return True
-    m = MESSAGES.search(body)
-    if not m:
+    short = len(body) <= SHORT_PAGE
+    low = "" if short else body.lower()
+    if short or any(k in low for k in FAILURE_KEYS):
+        failure = FAILURE.search(body) if short else None
+        if failure or not short:
+            lines = [x for x in body.split("\n") if x.strip()]
+            technical, rest = 0, len(lines)
+            for x in lines:
+                technical += bool(FAILURE.search(x)) or x.startswith((" ", "\t"))
+                rest -= 1
+                # the verdict is known as soon as the rest can't change it
+                if technical * 2 >= len(lines) or (technical + rest) * 2 < len(lines):
+                    break
+            # indented lines alone are no failure
+            if technical * 2 >= len(lines) and (failure or FAILURE.search(body)):
+                return True
+            if short and len(body) <= 250:
+                return True
+    if short:
+        if FAILURE.search(body):
+            return False
+        if NOSCRIPT.match(body):
+            return True
+        if not MESSAGES.search(body):
+            return False
+        # what is left beside the message must be no content of its own
+        rest_ = EXTRAS.sub(" ", body)
+        others = [s for s in _sentences(rest_) if not MESSAGES.search(s)]
+        return len(WORD.findall(rest_)) <= 25 and sum(len(WORD.findall(s)) for s in others) <= 8
+    # a long notice says one of the words in every sentence or so
+    if sum(low.count(k) for k in MESSAGE_KEYS) * 250 < len(low) or "\n## " in body:
         return False
-    # what is left beside the message must be no content of its own
-    rest = EXTRAS.sub(" ", body)
-    sentences = [s for s in re.split(r"(?<=[.!?])\s+|\n+", rest) if len(WORD.findall(s)) >= 3]
-    others = [s for s in sentences if not MESSAGES.search(s)]
-    return len(WORD.findall(rest)) <= 25 and sum(len(WORD.findall(s)) for s in others) <= 8
+    said = [(bool(MESSAGES.search(s)), len(WORD.findall(s))) for s in _sentences(EXTRAS.sub(" ", body))]
+    hits = [n for hit, n in said if hit]
+    return len(hits) >= 0.8 * len(said) and sum(hits) >= 0.8 * sum(n for _, n in said) > 0
+
+
+def _sentences(text: str) -> list[str]:
+    return [s for s in re.split(r"(?<=[.!?])\s+|\n+", text) if len(WORD.findall(s)) >= 3]
 
 
 def flagged(df: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
-    """(id, reason) of the records to exclude: field, filler, error_page or error_template.
+    """(id, reason) of the records to exclude: field, filler, error_template or error_page.
 
     A record has a row for each reason. Null and empty texts have none, and
     repeated rows are judged together.
     """
     src = pick(df, id=id_col, text=text_col).where("id IS NOT NULL AND text IS NOT NULL").select(F.col("id").cast("long").alias("id"), "text")
-    fields = unfilled_fields(src).select("id").distinct().select("id", F.lit("field").alias("reason"))
-    words = filler_words(src)
+    rows = materialize(scan_templates(src), "contexts")
+    fields = unfilled_fields(rows).select("id").distinct().select("id", F.lit("field").alias("reason"))
+    words = filler_words(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, 500):
-            rows: list[tuple] = []
+            found: list[tuple] = []
             for id_, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if is_filler(text, words):
-                    rows.append((id_, "filler", None))
-                # long texts may be a program's failure report, which has no section headings
-                if len(text) <= ERROR_PAGE_LIMIT or (len(text) <= 3 * ERROR_PAGE_LIMIT and "\n## " not in text):
-                    wrong = error_page(text)
-                    template = page_template(text)
-                    if wrong or (len(text) <= 300 and template):
-                        rows.append((id_, "error_page" if wrong else "page", template))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string()))], names=["id", "reason", "template"])
-
-    pages = materialize(src.mapInArrow(run, "id long, reason string, template string"), "pages")
-    known = pages.where("reason = 'error_page' AND length(template) >= 12").groupBy("template").agg(F.count("*").alias("n")).where("n >= 2").select("template")
-    carried = pages.where("reason = 'page'").join(known, "template", "left_semi").select("id", F.lit("error_template").alias("reason"))
-    direct = pages.where("reason <> 'page'").select("id", "reason")
-    return fields.unionByName(direct).unionByName(carried).distinct()
+                    found.append((id_, "filler"))
+                if error_page(text):
+                    found.append((id_, "error"))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], t) for k, t in enumerate((pa.int64(), pa.string()))], names=["id", "reason"])
+
+    judged = materialize(src.mapInArrow(run, "id long, reason string"), "judged")
+    pages = rows.where("kind = 'p'").select("id", F.col("plain").alias("template"))
+    seeds = judged.where("reason = 'error'").select("id").distinct()
+    # a template is an error page's if most of its records are: their wording differs in masked names and numbers only
+    shared = pages.join(seeds.withColumn("seed", F.lit(1)), "id", "left").groupBy("template").agg(F.count("*").alias("n"), F.count("seed").alias("seeds")).where("n >= 2 AND 2 * seeds >= n").select("template")
+    carried = pages.join(shared, "template", "left_semi").select("id").distinct()
+    alone = seeds.join(carried, "id", "left_anti").select("id", F.lit("error_page").alias("reason"))
+    return fields.unionByName(judged.where("reason = 'filler'")).unionByName(carried.select("id", F.lit("error_template").alias("reason"))).unionByName(alone).distinct()
 
 
 def without_residue(df: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
