@@ -616,9 +616,9 @@ def _page(rows: DataFrame, page: str, link: str, order: str) -> DataFrame:
     f"""with c as (select candidate_id, url, metadata.listing_url as l, metadata.detail_url as d from candidates where metadata.listing_url is not null and trim(metadata.detail_url) <> '' and trim(url) <> ''), k as (select *, {_CANON} as detail from c),
     p as (select l, min(candidate_id) as page_seq from k group by l), f as (select k.*, p.page_seq, row_number() over (partition by detail order by p.page_seq, candidate_id) as n from k join p using (l)),
     w as (select detail, l, row_number() over (order by page_seq, candidate_id) as place from f where n = 1), top as (select * from w where place <= 40),
-    u as (select top.*, k.candidate_id, {_SHAPED} as shaped from k join top using (detail) where regexp_matches(lower(trim(k.url)), '\.pdf($|[?#])')),
+    u as (select top.*, k.candidate_id, {_SHAPED} as shaped from k join top using (detail) where regexp_matches(lower(trim(k.url)), '\\.pdf($|[?#])')),
     r as (select *, row_number() over (partition by shaped order by place, candidate_id) as n from u)
-    select shaped as url, l as listing_url, detail as detail_url, case when regexp_matches(lower(shaped), '\.pdf($|[?#])') then 'listing_pdf' else 'detail_page' end as origin, coalesce({SQL_YEAR.replace('(url,', '(shaped,')}, {SQL_YEAR.replace('(url,', '(detail,')}) as extracted_year from r where n = 1"""
+    select shaped as url, l as listing_url, detail as detail_url, case when regexp_matches(lower(shaped), '\\.pdf($|[?#])') then 'listing_pdf' else 'detail_page' end as origin, coalesce({SQL_YEAR.replace('(url,', '(shaped,')}, {SQL_YEAR.replace('(url,', '(detail,')}) as extracted_year from r where n = 1"""
 )
 def detail_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages to detail pages, the first 40 of these to their files."""
