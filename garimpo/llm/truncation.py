@@ -4,14 +4,21 @@ One pass measures every text as different stores would (characters, UTF-8
 bytes, UTF-16 units, with CRLF line ends, HTML-escaped, JSON-escaped) and
 inspects its ending. Only these features go on.
 
-* Hidden limits: lengths are counted by source and measure; a length that far
-  more texts of a source share than its neighbourhood, most of them with a cut
-  ending, is a storage limit of that source in that measure.
-* Endings: a text is cut if it doesn't end as texts end: in a full stop (with
-  closing marks), a table row, a link, the foot of a page, a running line or a
-  signature. An ending that could be either (a signature, a link, a row) counts
-  as cut if the text lies exactly at a hidden limit, or if it is the beginning
-  of a line with which other texts end.
+1. Hidden limits: lengths are counted by source and measure; a length that far
+   more texts of a source share than its neighbourhood stands out. Only then are
+   the endings of the texts at that length inspected: with mostly cut ones it is
+   a storage limit of that source in that measure. A text that several measures
+   explain goes to the limit with most texts, and limits that are left without
+   texts of their own are dropped (a text of 1200 characters and 10 lines is at
+   no limit of 1210). A limit in bytes may end up to three bytes early, where a
+   character would have been split; texts of unknown source are compared with
+   the limits of all sources.
+2. A text at a limit was cut by it (`limit`) unless its ending is complete: an
+   ending that could be either (a signature, a link, a row) counts as cut there.
+3. Texts at no limit were cut in transfer (`transfer`) if they don't end as texts
+   end: in a full stop (with closing marks), a table row, a link, the foot of a
+   page, a running line or a signature; or if they end in the beginning of a line
+   with which other texts end (`line`).
 """
 
 from __future__ import annotations
@@ -25,6 +32,8 @@ from pyspark.sql import functions as F
 
 from .common import chunks, materialize, pick
 
+# Bytes that a cut at a limit of bytes may fall short by, by place in MEASURES.
+SHORT_BY = {1: 3, 4: 3}
 MEASURES = ("chars", "utf8", "utf16", "crlf", "crlf_utf8", "html", "entities", "json", "json_ascii")
 
 OMISSION = re.compile(r"[\s]*(…|\.{3,}|\[\s*(…|\.{3})\s*\]|\(\s*(…|\.{3})\s*\)|\[(cont|continua|more|cut)\.?\])+\s*$", re.I)
@@ -143,54 +152,66 @@ def hidden_limits(measured: DataFrame, *, least: int = 5, factor: float = 8.0, a
     )
 
 
-def truncated(df: DataFrame, candidates: DataFrame, *, id_col: str, text_col: str, candidate_col: str = "candidate_id", source_field: str = "metadata.source") -> tuple[DataFrame, DataFrame]:
-    """(records, limits): id, source, ending kind, at_limit and truncated of every text; the hidden limits.
+def at_limits(measured: DataFrame, limits: DataFrame) -> DataFrame:
+    """(id, source, at, length, texts): each text at a limit, with the limit that explains most texts. limits: source, at, length, texts."""
+    short = F.lit(0)
+    for at, n in SHORT_BY.items():
+        short = F.when(F.col("at") == at, n).otherwise(short)
+    everywhere = limits.groupBy("at", "length").agg(F.max("texts").alias("texts")).select(F.lit("unknown").alias("source"), "at", "length", "texts")
+    reached = limits.select("source", "at", "length", "texts").where("source <> 'unknown'").unionByName(everywhere)
+    reached = reached.select("source", "at", F.col("length").alias("limit"), "texts", F.explode(F.sequence(F.col("length") - short, F.col("length"))).alias("length"))
+    hits = measured.select("id", "source", F.posexplode("lengths").alias("at", "length")).join(reached, ["source", "at", "length"])
+    best = hits.groupBy("id", "source").agg(F.max(F.struct("texts", (-F.col("at")).alias("first"), F.col("limit").alias("length"))).alias("best"))
+    return best.select("id", "source", (-F.col("best.first")).cast("int").alias("at"), "best.length", "best.texts")
 
-    Null texts are left out, empty ones are not cut. A candidate that is null
-    or isn't in `candidates` has the source `unknown`. Candidate ids must be
-    unique; whole repeated rows of `df` are judged each.
+
+def truncated(df: DataFrame, candidates: DataFrame, *, id_col: str, text_col: str, candidate_col: str = "candidate_id", source_field: str = "metadata.source", least: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(records, limits): id, source, ending kind, at_limit, how (limit, transfer, line or null) and truncated of every text; the hidden limits.
+
+    limits: source, measure, at, length, texts (at it), cut (of these), explained
+    (texts that no limit of more texts explains). Null texts are left out, empty
+    ones are not cut. A candidate that is null or isn't in `candidates` has the
+    source `unknown`. Candidate ids must be unique; whole repeated rows of `df`
+    are judged each.
     """
     sources = candidates.select(candidates[f"`{candidate_col}`"].alias("candidate"), source_name(F.col(source_field)).alias("source")).where("candidate IS NOT NULL")
     base = features(df, id_col=id_col, text_col=text_col, candidate_col=candidate_col)
     base = base.join(sources, "candidate", "left").withColumn("source", F.coalesce("source", F.lit("unknown"))).withColumn("is_cut", F.col("kind").isin("cut", "omitted").cast("long"))
     # the features are used several times: written once, a hundred bytes or so a text
     base = materialize(base, "features")
-    limits = hidden_limits(base)
-    hits = (
-        base.where("kind IN ('row', 'link', 'signature', 'cut', 'omitted')")
-        .select("id", "source", F.posexplode("lengths").alias("at", "length"))
-        .join(limits.select("source", "at", "length"), ["source", "at", "length"])
-        .select("id", F.lit(True).alias("at_limit"))
-        .distinct()
-    )
-    # beginnings of lines with which several texts end: by equality, so nothing has to be broadcast
+    standing = materialize(hidden_limits(base, least=least), "limits")
+    open_ = base.where("kind IN ('row', 'link', 'signature', 'cut', 'omitted')")
+    known = materialize(at_limits(open_, standing), "at-limits")
+    explained = known.where("source <> 'unknown'").groupBy("source", "at", "length").agg(F.count_distinct("id").alias("explained"))
+    limits = standing.join(explained, ["source", "at", "length"], "left").withColumn("explained", F.coalesce("explained", F.lit(0))).where((F.col("explained") >= least) | (F.col("source") == "unknown"))
+    hits = known.join(limits.select("at", "length").distinct(), ["at", "length"], "left_semi").select("id", F.lit(True).alias("at_limit")).distinct()
+    # beginnings of lines with which several texts end: by equality, so nothing has to be broadcast; the few such lines are bounded by how often they end a text
     ends = base.where("kind = 'signature'").groupBy("last_line").agg(F.count("*").alias("n")).where("n >= 5")
-    begun = ends.select(F.explode(F.expr("transform(sequence(1, length(last_line) - 1), i -> rtrim(substring(last_line, 1, i)))")).alias("last_line")).distinct().withColumn("begun", F.lit(True))
-    complete = ends.select("last_line", F.lit(True).alias("common"))
+    begun = ends.select(F.explode(F.expr("transform(sequence(1, length(last_line) - 1), i -> rtrim(substring(last_line, 1, i)))")).alias("last_line")).distinct()
+    begun = begun.join(ends.select("last_line"), "last_line", "left_anti")
+    # only signatures are looked up, so a line shared by many other texts is no hot key
+    lines = base.where("kind = 'signature'").select("id", "last_line").join(begun, "last_line", "left_semi").select("id", F.lit(True).alias("begun")).distinct()
+    how = (
+        F.when(F.coalesce("at_limit", F.lit(False)), "limit")
+        .when(F.col("kind").isin("cut", "omitted"), "transfer")
+        .when((F.col("kind") == "signature") & F.coalesce("begun", F.lit(False)), "line")
+    )
     records = (
         base.join(hits, "id", "left")
-        .join(begun, "last_line", "left")
-        .join(complete, "last_line", "left")
-        .select(
-            "id",
-            "source",
-            "kind",
-            F.coalesce("at_limit", F.lit(False)).alias("at_limit"),
-            (
-                F.col("kind").isin("cut", "omitted")
-                | (F.col("kind").isin("row", "link", "signature") & F.coalesce("at_limit", F.lit(False)))
-                | ((F.col("kind") == "signature") & F.coalesce("begun", F.lit(False)) & F.col("common").isNull())
-            ).alias("truncated"),
-        )
+        .join(lines, "id", "left")
+        .select("id", "source", "kind", F.coalesce("at_limit", F.lit(False)).alias("at_limit"), how.alias("how"))
+        .withColumn("truncated", F.col("how").isNotNull())
     )
     return records, limits
 
 
 def truncation_by_source(records: DataFrame) -> DataFrame:
-    """source, texts, truncated, share, at_limit."""
+    """source, texts, truncated, share, and how: at_limit, in_transfer, in_line."""
     return records.groupBy("source").agg(
         F.count("*").alias("texts"),
         F.count_if("truncated").alias("truncated"),
         F.round(F.count_if("truncated") / F.count("*"), 6).alias("share"),
-        F.count_if(F.col("truncated") & F.col("at_limit")).alias("at_limit"),
+        F.count_if(F.col("how") == "limit").alias("at_limit"),
+        F.count_if(F.col("how") == "transfer").alias("in_transfer"),
+        F.count_if(F.col("how") == "line").alias("in_line"),
     )
