@@ -161,5 +161,42 @@ select id_a, id_b from c join n x on x.id = id_a join n y on y.id = id_b where c
 """
 
 
+P1_GROUPS_SQL = """
+with recursive w as (select result_id as id, regexp_extract_all(lower(ocr_markdown), '[\\p{L}\\p{N}]+') as ws from worker_results where ocr_markdown is not null),
+g as (select distinct id, hash(ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) as h from w, unnest(range(1, len(ws) - 1)) r(i) where len(ws) >= 3),
+sets as (select id, count(*) as n, list_sort(list(h)) as s from g group by id),
+m as (select id, n, min(id) over (partition by s) as class_id from sets),
+r as (select g.id, g.h from g join m on m.id = g.id and m.id = m.class_id),
+c as (select a.id as a, b.id as b, count(*) as common from r a join r b on a.h = b.h and a.id < b.id group by all),
+p as (select a, b from c join m x on x.id = a join m y on y.id = b where common >= 0.6 * (x.n + y.n - common)),
+e as (select a, b from p union all select b, a from p),
+t(id, grp) as (select class_id, class_id from m union select t.id, e.b from t join e on e.a = t.grp),
+k as (select id, min(grp) as group_id from t group by id),
+d as (select a, count(*) as links from e group by a)
+select m.id as result_id, m.class_id, k.group_id, cast(coalesce(d.links, 0) as bigint) as links from m join k on k.id = m.class_id left join d on d.a = m.class_id
+"""
+
+
+def _decoded(text: str, keep: str) -> str:
+    """SQL: percent escapes decoded but for those of keep."""
+    return f"case when contains({text}, '%') then url_decode(regexp_replace(replace({text}, '+', '%2B'), '%({keep})', '%25\\1', 'gi')) else {text} end"
+
+
+_PAGE = "case when x in ('', '.') then acc when x = '..' then regexp_replace(acc, '/[^/]*$', '') else acc || '/' || x end"
+P6_SQL = f"""
+with recursive c as (select candidate_id, regexp_replace(regexp_replace(regexp_replace(url, '^[\\s\ufeff\u00a0]+|[\\s\ufeff\u00a0]+$', '', 'g'), '#.*$', '', 's'), '^[a-zA-Z][a-zA-Z0-9+.-]*://', '//') as url from candidates where url is not null),
+p as (select candidate_id, regexp_replace(regexp_replace(lower(regexp_extract(url, '^//([^/?]*)', 1)), '[.]?(:(80|443)?)?$', ''), '^(.*@)?www[.]', '') as host, regexp_replace(url, '^//[^/?]*', '') as rest from c),
+q as (select candidate_id, host, regexp_replace(regexp_extract(rest, '^[^?]*', 0, 's'), ';[^/;=]*(sess|sid)[^/;=]*=[^/;]*', '', 'gi') as path, string_split(replace(regexp_extract(rest, '[?](.*)$', 1, 's'), '+', '%20'), '&') as ps from p),
+f as (select candidate_id, host || list_reduce(list_prepend('', string_split({_decoded("path", "2f|25|3f|23")}, '/')), lambda acc, x: {_PAGE}) || '?' || coalesce(list_aggregate(list_sort(list_transform(list_filter(ps, lambda x: x <> '' and not regexp_matches(lower(regexp_extract(x, '^[^=]*', 0)), '{history._TRACKED}')), lambda x: {_decoded("x", "26|3d|25")})), 'string_agg', '&'), '') as u from q),
+k as (select row_number() over (order by download_id) as n, download_id as id, greatest(coalesce(batch_no, 0), 0) as batch, 'u' || u as u,
+    case when content_length is null or content_length <> 0 then 'h' || nullif(regexp_replace(lower(regexp_replace(content_hash, '[\\s-]', '', 'g')), '^(0x|sha-?256[:=])', ''), '') end as h from downloads left join f using (candidate_id)),
+s(n, id, accepted_id, held) as (select cast(0 as bigint), cast(null as bigint), cast(null as bigint), cast([] as struct(k varchar, id bigint)[])
+    union all select k.n, k.id, case when batch > 0 then list_min(list_transform(list_filter(held, lambda x: x.k = h or x.k = u), lambda x: x.id)) end,
+    case when batch > 0 and len(list_filter(held, lambda x: x.k = h or x.k = u)) > 0 then held else held || list_filter([struct_pack(k := h, id := k.id), struct_pack(k := u, id := k.id)], lambda x: x.k is not null) end
+    from s join k on k.n = s.n + 1)
+select accepted_id, id as duplicate_id from s where accepted_id is not null
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL}
+    return {"p1_found": P1_SQL, "p1_groups": P1_GROUPS_SQL, "p6_found": P6_SQL}
