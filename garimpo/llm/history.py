@@ -59,7 +59,8 @@ LINKS = 6
 PART_NODES = 50_000
 # Query keys up to this number (16 MB) are sent to all tasks; beyond it they are joined with the graphs by part.
 BROADCAST_KEYS = 1_000_000
-# Rounds that settle repeats within a batch before its chains are taken one by one.
+# Up to so many key rows (2.4 MB) repeats within a batch are taken one by one in a task; beyond it rounds settle most of them first.
+CONTESTED = 100_000
 ROUNDS = 3
 _GRAPH = "part long, beam int, points binary, starts binary, checks binary, ids binary, far binary"
 
@@ -361,25 +362,11 @@ def _first_wins(open_: DataFrame) -> DataFrame:
     """(duplicate_id, accepted_id) among rows (id, point, check) that share keys with each other.
 
     A row is accepted when it is the first open row for all its keys; rows that
-    share a key with it are then duplicates. After ROUNDS rounds the open rows
-    form chains, each repeating the one before; their connected components are
-    taken one by one, each in a task that holds the keys of its accepted rows.
+    share a key with it are then duplicates. After ROUNDS rounds, or as soon as
+    few are left, the open rows form chains, each repeating the one before. They
+    are taken one by one, each connected component in a task that holds the keys
+    of its accepted rows; a few rows are one component.
     """
-    found = None
-    for _ in range(ROUNDS):
-        first = open_.groupBy("point", "check").agg(F.min("id").alias("first"))
-        winners = open_.join(first, ["point", "check"]).groupBy("id").agg(F.min((F.col("id") == F.col("first")).cast("int")).alias("wins")).where("wins = 1").select("id")
-        won = open_.join(winners, "id").select("point", "check", F.col("id").alias("winner"))
-        state = open_.join(won, ["point", "check"], "left").groupBy("id").agg(F.min("winner").alias("winner"))
-        state = materialize(state, "state")
-        pairs = state.where("id > winner").select(F.col("id").alias("duplicate_id"), F.col("winner").alias("accepted_id"))
-        found = pairs if found is None else found.unionByName(pairs)
-        rest = state.where("winner IS NULL").select("id")
-        if not rest.head(1):
-            return found
-        open_ = materialize(open_.join(rest, "id", "left_semi"), "open")
-    edges = open_.join(open_.groupBy("point", "check").agg(F.min("id").alias("b")), ["point", "check"]).select(F.col("id").alias("a"), "b").where("a <> b").distinct()
-    groups = connected_groups(edges)
 
     def one_by_one(key: tuple, table: pa.Table) -> pa.Table:
         held: dict[tuple[int, int], int] = {}
@@ -395,7 +382,34 @@ def _first_wins(open_: DataFrame) -> DataFrame:
                 held.update(dict.fromkeys(rows[id_], id_))
         return pa.table({"duplicate_id": pa.array([p[0] for p in pairs], pa.int64()), "accepted_id": pa.array([p[1] for p in pairs], pa.int64())})
 
-    return found.unionByName(open_.join(groups, "id").groupBy("group").applyInArrow(one_by_one, "duplicate_id long, accepted_id long"))
+    rows_ = open_
+    found = open_.sparkSession.createDataFrame([], "duplicate_id long, accepted_id long")
+
+    def settled(pairs: DataFrame) -> DataFrame:
+        # a duplicate may also share a key with an earlier row that was accepted in a later round
+        gone = pairs.select(F.col("duplicate_id").alias("id"))
+        held = rows_.join(gone, "id", "left_anti").select("point", "check", F.col("id").alias("accepted_id"))
+        return rows_.join(gone, "id", "left_semi").join(held, ["point", "check"]).where("accepted_id < id").groupBy(F.col("id").alias("duplicate_id")).agg(F.min("accepted_id").alias("accepted_id"))
+
+    for turn in range(ROUNDS):
+        if open_.count() <= CONTESTED:
+            last = found.unionByName(open_.groupBy(F.lit(0).alias("group")).applyInArrow(one_by_one, "duplicate_id long, accepted_id long"))
+            return settled(last) if turn else last
+        first = open_.groupBy("point", "check").agg(F.min("id").alias("first"))
+        winners = open_.join(first, ["point", "check"]).groupBy("id").agg(F.min((F.col("id") == F.col("first")).cast("int")).alias("wins")).where("wins = 1").select("id")
+        won = open_.join(winners, "id").select("point", "check", F.col("id").alias("winner"))
+        state = open_.join(won, ["point", "check"], "left").groupBy("id").agg(F.min("winner").alias("winner"))
+        state = materialize(state, "state")
+        pairs = state.where("id > winner").select(F.col("id").alias("duplicate_id"), F.col("winner").alias("accepted_id"))
+        found = found.unionByName(pairs)
+        rest = state.where("winner IS NULL").select("id")
+        if not rest.head(1):
+            return settled(found)
+        open_ = materialize(open_.join(rest, "id", "left_semi"), "open")
+    edges = open_.join(open_.groupBy("point", "check").agg(F.min("id").alias("b")), ["point", "check"]).select(F.col("id").alias("a"), "b").where("a <> b").distinct()
+    groups = connected_groups(edges)
+
+    return settled(found.unionByName(open_.join(groups, "id").groupBy("group").applyInArrow(one_by_one, "duplicate_id long, accepted_id long")))
 
 
 def keyed_rows(downloads: DataFrame, candidates: DataFrame, *, after: int | None = None, id_col: str = "download_id", candidate_col: str = "candidate_id", batch_col: str = "batch_no", hash_col: str = "content_hash", length_col: str = "content_length", url_col: str = "url") -> DataFrame:

@@ -188,8 +188,11 @@ with recursive c as (select candidate_id, regexp_replace(regexp_replace(regexp_r
 p as (select candidate_id, regexp_replace(regexp_replace(lower(regexp_extract(url, '^//([^/?]*)', 1)), '[.]?(:(80|443)?)?$', ''), '^(.*@)?www[.]', '') as host, regexp_replace(url, '^//[^/?]*', '') as rest from c),
 q as (select candidate_id, host, regexp_replace(regexp_extract(rest, '^[^?]*', 0, 's'), ';[^/;=]*(sess|sid)[^/;=]*=[^/;]*', '', 'gi') as path, string_split(replace(regexp_extract(rest, '[?](.*)$', 1, 's'), '+', '%20'), '&') as ps from p),
 f as (select candidate_id, host || list_reduce(list_prepend('', string_split({_decoded("path", "2f|25|3f|23")}, '/')), lambda acc, x: {_PAGE}) || '?' || coalesce(list_aggregate(list_sort(list_transform(list_filter(ps, lambda x: x <> '' and not regexp_matches(lower(regexp_extract(x, '^[^=]*', 0)), '{history._TRACKED}')), lambda x: {_decoded("x", "26|3d|25")})), 'string_agg', '&'), '') as u from q),
-k as (select row_number() over (order by download_id) as n, download_id as id, greatest(coalesce(batch_no, 0), 0) as batch, 'u' || u as u,
+o as (select download_id as id, greatest(coalesce(batch_no, 0), 0) as batch, 'u' || u as u,
     case when content_length is null or content_length <> 0 then 'h' || nullif(regexp_replace(lower(regexp_replace(content_hash, '[\\s-]', '', 'g')), '^(0x|sha-?256[:=])', ''), '') end as h from downloads left join f using (candidate_id)),
+t as (select x from (select u as x from o union all select h from o) where x is not null group by x having count(*) > 1),
+j as (select o.id, batch, tu.x as u, th.x as h from o left join t tu on tu.x = o.u left join t th on th.x = o.h where tu.x is not null or th.x is not null),
+k as (select row_number() over (order by id) as n, * from j),
 s(n, id, accepted_id, held) as (select cast(0 as bigint), cast(null as bigint), cast(null as bigint), cast([] as struct(k varchar, id bigint)[])
     union all select k.n, k.id, case when batch > 0 then list_min(list_transform(list_filter(held, lambda x: x.k = h or x.k = u), lambda x: x.id)) end,
     case when batch > 0 and len(list_filter(held, lambda x: x.k = h or x.k = u)) > 0 then held else held || list_filter([struct_pack(k := h, id := k.id), struct_pack(k := u, id := k.id)], lambda x: x.k is not null) end

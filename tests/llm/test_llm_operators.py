@@ -317,3 +317,21 @@ def test_half_full_containers_stay_in_bounded_shards(spark):
     finally:
         packing._pack_shards = real
     assert max(shards) <= 150 and len(shards) <= 3
+
+
+@pytest.mark.parametrize("few", [0, 10, 100_000])
+def test_repeats_within_a_batch_by_rounds_and_chains(spark, monkeypatch, few):
+    monkeypatch.setattr(history, "CONTESTED", few)
+    rng = random.Random(31)
+    # a hot key, chains and random ties
+    rows = [(i, k) for i in range(300) for k in {rng.choice([0, 1000 + i, 1000 + i // 3]), 2000 + (i + 1) // 2, rng.randint(5000, 5200)}]
+    held, want = {}, set()
+    for i in range(300):
+        mine = [k for j, k in rows if j == i]
+        hits = [held[k] for k in mine if k in held]
+        if hits:
+            want.add((i, min(hits)))
+        else:
+            held.update(dict.fromkeys(mine, i))
+    df = spark.createDataFrame([(i, k, -k) for i, k in rows], "id long, point long, check long")
+    assert {(r.duplicate_id, r.accepted_id) for r in history._first_wins(df).collect()} == want
