@@ -562,7 +562,8 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages as they would have been landed: the candidates' links by listing, as HTML."""
     c = _sourced(spark, sf_dir).where("listing_url IS NOT NULL")
     link = F.concat(F.lit('<li><a href="'), F.replace(F.col("url"), F.lit("&"), F.lit("&amp;")), F.lit('" title="edital">Edital de chamada <b>'), F.col("candidate_id").cast("string"), F.lit("</b></a></li>"))
-    body = c.groupBy("source", F.col("listing_url").alias("page_url"), F.floor(F.col("candidate_id") / 200).alias("page_seq")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("candidate_id", link.alias("link")))), lambda x: x["link"]), "\n").alias("links"))
+    # a page is numbered by its first link, so that no two pages have the same number
+    body = c.groupBy("source", F.col("listing_url").alias("page_url"), F.floor(F.col("candidate_id") / 200).alias("part")).agg(F.min("candidate_id").alias("page_seq"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("candidate_id", link.alias("link")))), lambda x: x["link"]), "\n").alias("links"))
     pages = body.select("source", "page_url", F.col("page_seq").cast("int").alias("page_seq"), F.concat(F.lit("<html><body><ul>"), "links", F.lit('</ul><script>var a = "<a href=x>";</script></body></html>')).alias("html"))
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
@@ -574,7 +575,10 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 _landed: dict[tuple[str, str], DataFrame] = {}
 
 
-@query("select metadata.listing_url as page_url, cast(floor(candidate_id / 200) as integer) as page_seq, url as href, 'Edital de chamada ' || candidate_id as text, 'edital' as title from candidates where metadata.listing_url is not null")
+_PAGE_SEQ = f"cast(min(candidate_id) over (partition by {_SOURCE}, metadata.listing_url, floor(candidate_id / 200)) as integer)"
+
+
+@query(f"select metadata.listing_url as page_url, {_PAGE_SEQ} as page_seq, url as href, 'Edital de chamada ' || candidate_id as text, 'edital' as title from candidates where metadata.listing_url is not null")
 def page_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The anchors of landed pages with text and title."""
     return anchors(landed_pages(spark, sf_dir).select("page_url", "page_seq", "html")).select("page_url", "page_seq", "href", "text", "title")
@@ -585,11 +589,11 @@ CATALOG_SPEC = SourceSpec("catalog", (), listing_pdf=LinkRule(host="listing_bare
 
 
 @query(
-    f"""with c as (select candidate_id, url, metadata.listing_url as listing_url from candidates where metadata.listing_url is not null),
-    r as (select *, case when trim(url) = '' then listing_url else url end as u from c), k as (select candidate_id, listing_url, {_sql_build(f"lower({_u(1, 'trim(u)')})", _u(2, 'trim(u)'), f"regexp_replace({_u(3, 'trim(u)')}, '/+$', '')", _u(4, 'trim(u)'))} as url from r
+    f"""with c as (select candidate_id, url, metadata.listing_url as listing_url, {_PAGE_SEQ} as page_seq from candidates where metadata.listing_url is not null),
+    r as (select *, case when trim(url) = '' then listing_url else url end as u from c), k as (select candidate_id, page_seq, listing_url, {_sql_build(f"lower({_u(1, 'trim(u)')})", _u(2, 'trim(u)'), f"regexp_replace({_u(3, 'trim(u)')}, '/+$', '')", _u(4, 'trim(u)'))} as url from r
     where regexp_replace({SQL_HOST.replace('(url,', '(trim(u),')}, '^www\\.', '') = regexp_replace({SQL_HOST.replace('(url,', '(listing_url,')}, '^www\\.', '')),
-    f as (select *, row_number() over (partition by url order by cast(floor(candidate_id / 200) as integer), candidate_id) as n from k)
-    select cast(floor(candidate_id / 200) as integer) as page_seq, url, 'pdf' as kind, 'catalog' as source, listing_url, cast(null as varchar) as detail_url, '{NOW}' as discovered_at, 'listing_pdf' as origin, {SQL_YEAR} as extracted_year
+    f as (select *, row_number() over (partition by url order by page_seq, candidate_id) as n from k)
+    select page_seq, url, 'pdf' as kind, 'catalog' as source, listing_url, cast(null as varchar) as detail_url, '{NOW}' as discovered_at, 'listing_pdf' as origin, {SQL_YEAR} as extracted_year
     from f where coalesce({SQL_YEAR} >= 2026, true) and not regexp_matches({SQL_FOLD.format(SQL_FILENAME, 'url')}, '{SQL_EXCLUDED}') and n = 1"""
 )
 def candidate_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
