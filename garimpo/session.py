@@ -53,6 +53,34 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file(spark: SparkSession, uri: str) -> tuple:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def read_text(spark: SparkSession, uri: str) -> str | None:
+    """A small file of any file system that Spark knows; None if it isn't there."""
+    path, files = _file(spark, uri)
+    return "\n".join(r.value for r in spark.read.text(uri).collect()) if files.exists(path) else None
+
+
+def replace_text(spark: SparkSession, uri: str, text: str) -> None:
+    """A small file written beside and moved into place, so a reader never sees half of it."""
+    path, files = _file(spark, uri)
+    beside, _ = _file(spark, f"{uri}.new")
+    out = files.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(path, False)
+    files.rename(beside, path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes the written tables of the shared folder; their DataFrames can't be read afterwards."""
+    path, files = _file(spark, f"{work_dir(spark)}/garimpo")
+    files.delete(path, True)
+
+
 _shipped: set[str] = set()
 
 

@@ -8,10 +8,11 @@ import tempfile
 from datetime import datetime, timezone
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import caps
+from ..session import read_text, replace_text
 
 PAGE_LIMIT = 20
 
@@ -47,20 +48,23 @@ def claimed(claims: DataFrame, *, url: str = "url", kind: str = "kind", metadata
 
 
 def load_checkpoint(path: str) -> datetime | None:
-    """The stored instant; None for a missing, broken or odd file."""
+    """The stored instant; None for a missing, broken or odd file. A path with a scheme is read through the active session."""
     try:
-        value = json.loads(Path(path).read_text())["last_successful_update"]
-        at = datetime.fromisoformat(value)
+        text = read_text(SparkSession.active(), path) if "://" in path else Path(path).read_text()
+        at = datetime.fromisoformat(json.loads(text or "")["last_successful_update"])
     except (OSError, ValueError, KeyError, TypeError):
         return None
     return at if at.tzinfo else at.replace(tzinfo=timezone.utc)
 
 
 def save_checkpoint(path: str, at: datetime) -> None:
-    """Written beside and moved into place, so a reader never sees half a file."""
+    """Written beside and moved into place. On a cluster the path has a scheme and lies in a shared folder; a plain one is the driver's disk."""
+    text = json.dumps({"last_successful_update": at.astimezone(timezone.utc).isoformat()})
+    if "://" in path:
+        return replace_text(SparkSession.active(), path, text)
     target = Path(path)
     target.parent.mkdir(parents=True, exist_ok=True)
     handle, name = tempfile.mkstemp(dir=target.parent)
     with os.fdopen(handle, "w") as f:
-        json.dump({"last_successful_update": at.astimezone(timezone.utc).isoformat()}, f)
+        f.write(text)
     os.replace(name, target)

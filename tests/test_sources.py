@@ -89,6 +89,11 @@ def test_claims_and_checkpoint(spark, tmp_path):
     assert landing.load_checkpoint(path) == at
     (tmp_path / "c" / "state.json").write_text("{")
     assert landing.load_checkpoint(path) is None
+    shared = f"file://{tmp_path}/shared/state.json"
+    assert landing.load_checkpoint(shared) is None
+    for at in (datetime(2026, 1, 2, tzinfo=timezone.utc), datetime(2026, 1, 3, tzinfo=timezone.utc)):
+        landing.save_checkpoint(shared, at)
+        assert landing.load_checkpoint(shared) == at
 
 
 def zipped(*files):
