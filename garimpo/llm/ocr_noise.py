@@ -37,6 +37,8 @@ FLUSH = 400_000
 VOCABULARY_SHARE = 200_000
 # A word must be so many times as frequent as one that may be a misreading of it.
 DOUBT = 20
+# Words whose candidates a task looks for.
+TASK_WORDS = 2000
 
 # Characters that scanners take for one another (read -> meant).
 LOOKALIKES = {
@@ -252,7 +254,7 @@ def vocabulary_of(counts: DataFrame) -> dict[str, int]:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["word"])
 
     spark = counts.sparkSession
-    doubtful = spark.createDataFrame(asked, "word string").repartition(max(1, len(asked) // 5000)).mapInArrow(run, "word string").collect()
+    doubtful = spark.createDataFrame(asked, "word string").repartition(max(1, len(asked) // TASK_WORDS)).mapInArrow(run, "word string").collect()
     for r in doubtful:
         known.pop(r.word, None)
     return known
@@ -422,7 +424,9 @@ def misread_words(inspected: DataFrame, counts: DataFrame, vocabulary: dict[str,
 def _candidates(inspected: DataFrame, vocabulary: dict[str, int]) -> tuple[DataFrame, DataFrame]:
     """(id, before, form) of the suspects, and (form, right, errors, freq) of what they may be."""
     seen = inspected.select("id", "digest", F.explode("suspects").alias("s")).select("id", "digest", "s.before", "s.form")
-    forms = seen.groupBy("form").agg(F.count_distinct("digest").alias("uses"))
+    # a form is a few bytes and a millisecond or so: tasks are cut by their number, not by their size
+    forms = materialize(seen.groupBy("form").agg(F.count_distinct("digest").alias("uses")), "forms")
+    forms = forms.repartition(max(1, forms.count() // TASK_WORDS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         root = trie(vocabulary)
