@@ -38,7 +38,7 @@ VOCABULARY_SHARE = 200_000
 # A word must be so many times as frequent as one that may be a misreading of it.
 DOUBT = 20
 # Words whose candidates a task looks for.
-TASK_WORDS = 2000
+TASK_WORDS = 5000
 
 # Characters that scanners take for one another (read -> meant).
 LOOKALIKES = {
